@@ -112,6 +112,14 @@ RAW_SQL = {
                cast(cast(-70 as double) + ((user_id * 457) % 2048) / cast(64 as double)
                     + ((event_id * 17) % 64) / cast(64 as double) as {text}) geolocation_lng
         from events""",
+    # Every supplier as a location to fetch weather for, at its rounded position.
+    "supplier_hubs": """
+        select lpad(cast(s_suppkey as {text}), 7, '0') zip_code_prefix,
+               cast(round(cast(cast(-33 as double) + ((s_suppkey * 1237) % 2048)
+                               / cast(64 as double) as decimal(10,6)), 2) as double) lat,
+               cast(round(cast(cast(-70 as double) + ((s_suppkey * 719) % 2048)
+                               / cast(64 as double) as decimal(10,6)), 2) as double) lng
+        from supplier""",
     # Weather days as a response would carry them, before they are packed into payloads.
     "response_days": """
         select s, cast(floor(s / cast(100 as double)) as bigint) batch,
