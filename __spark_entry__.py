@@ -14,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from galepost import samples  # noqa: E402
 from galepost.operators import hubs as hub_ops  # noqa: E402
+from galepost.operators.checks import out_of_tolerance  # noqa: E402
 from galepost.operators.interval import interval_agg_join  # noqa: E402
 from galepost.operators.skew import heavy_keys  # noqa: E402
 from galepost.plans import analysis, marts, quality, staging, transform  # noqa: E402
@@ -27,6 +28,19 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 RESUME_DAYS = (date(1998, 1, 5), date(1998, 1, 6))
 
 
+class Staged(dict):
+    """Staging models by name, each derived when first asked for."""
+
+    def __init__(self, spark: SparkSession):
+        super().__init__()
+        self.spark = spark
+
+    def __missing__(self, name: str) -> DataFrame:
+        raw = samples.sample(self.spark, f"raw_{name}")
+        self[name] = staging.MODELS[name](raw)
+        return self[name]
+
+
 class Models:
     """The models over one set of input tables; each is built when first asked for.
 
@@ -35,7 +49,8 @@ class Models:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
-        self.stg = staging.staging(samples.raw_tables(spark, sf_dir))
+        samples.open_tables(spark, sf_dir)
+        self.stg = Staged(spark)
         self._built: dict[str, DataFrame] = {}
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -43,7 +58,7 @@ class Models:
             self._built[name] = stage(build(), name)
         return self._built[name]
 
-    def heavy_people(self) -> DataFrame:
+    def heavy_people(self) -> DataFrame | None:
         return heavy_keys(self.stg["customers"], marts.PERSON)
 
     def centroid_plan(self, exact: bool = True) -> DataFrame:
@@ -96,7 +111,7 @@ class Models:
     def checked(self) -> dict[str, DataFrame]:
         """Every model the checks look at."""
         return {
-            **{f"stg_{name}": df for name, df in self.stg.items()},
+            **{f"stg_{name}": self.stg[name] for name in staging.MODELS},
             "zip_centroid": self.centroid(),
             "weather_station_bridge": self.bridge(),
             "dim_customer_geography": self.dim(),
@@ -130,8 +145,10 @@ def hub_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def relevant_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = samples.raw_tables(tune(spark), sf_dir)
-    return hub_ops.relevant_prefixes(raw["customers"], raw["sellers"])
+    samples.open_tables(tune(spark), sf_dir)
+    return hub_ops.relevant_prefixes(
+        samples.sample(spark, "raw_customers"), samples.sample(spark, "raw_sellers")
+    )
 
 
 def relevant_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,8 +183,8 @@ def weather_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _supplier_hubs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Every supplier as a wanted hub, and the stored weather."""
-    raw = samples.raw_tables(tune(spark), sf_dir)
-    return samples.sample(spark, "supplier_hubs"), raw["weather"]
+    samples.open_tables(tune(spark), sf_dir)
+    return samples.sample(spark, "supplier_hubs"), samples.sample(spark, "raw_weather")
 
 
 def loaded_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,7 +364,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 {"zip_centroid": m.centroid_plan()}, ("greater_than_zero",)
             )
         ),
-        "dq_bridge_coverage": _model(lambda m: quality.out_of_tolerance(m.bridge_plan())),
+        "dq_bridge_coverage": _model(lambda m: out_of_tolerance(m.bridge_plan())),
         "dq_report": _model(_report()),
         "dq_fact_rowcount": _model(
             lambda m: quality.fact_row_count(m.fact_plan(), m.stg["orders"])

@@ -15,23 +15,23 @@ def make_point(lng: Column, lat: Column) -> Column:
     return F.when(usable, F.struct(lng.alias("lng"), lat.alias("lat")))
 
 
-def haversine_km(lat_a: Column, lng_a: Column, lat_b: Column, lng_b: Column) -> Column:
-    """Great-circle distance on the sphere."""
-    half_lat = F.radians(lat_b - lat_a) / 2.0
-    half_lng = F.radians(lng_b - lng_a) / 2.0
-    chord = F.pow(F.sin(half_lat), F.lit(2.0)) + F.cos(F.radians(lat_a)) * F.cos(
-        F.radians(lat_b)
-    ) * F.pow(F.sin(half_lng), F.lit(2.0))
-    return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(chord)))
+def haversine_km(lat_a: str, lng_a: str, lat_b: str, lng_b: str) -> Column:
+    """Great-circle distance on the sphere between two named pairs of columns."""
+    return F.expr(f"""
+        {2.0 * EARTH_RADIUS_KM}D * asin(least(1.0D, sqrt(
+            power(sin(radians({lat_b} - {lat_a}) / 2), 2)
+            + cos(radians({lat_a})) * cos(radians({lat_b}))
+              * power(sin(radians({lng_b} - {lng_a}) / 2), 2))))
+    """)
 
 
-def distance_km(lat_a: Column, lng_a: Column, lat_b: Column, lng_b: Column) -> Column:
+def distance_km(lat_a: str, lng_a: str, lat_b: str, lng_b: str) -> Column:
     """Distance rounded to the millimetre, so that ranking does not hang on the last bit."""
     return F.round(haversine_km(lat_a, lng_a, lat_b, lng_b), 6)
 
 
 def box_distance_floor_km(
-    lat: Column, lng: Column, south: Column, north: Column, west: Column, east: Column
+    lat: str, lng: str, south: str, north: str, west: str, east: str
 ) -> Column:
     """A distance that no point of the latitude/longitude box can undercut.
 
@@ -39,10 +39,11 @@ def box_distance_floor_km(
     meridian costs at least the cross-track distance, which stops growing once the
     meridian is a quarter turn away (the way then leads over the pole).
     """
-    lat_gap = F.greatest(F.lit(0.0), south - lat, lat - north)
-    turn_west = F.pmod(west - lng, F.lit(360.0))
-    turn_east = F.pmod(lng - east, F.lit(360.0))
-    inside = F.pmod(lng - west, F.lit(360.0)) <= (east - west)
-    lng_gap = F.when(inside, F.lit(0.0)).otherwise(F.least(turn_west, turn_east, F.lit(90.0)))
-    across = F.asin(F.least(F.lit(1.0), F.cos(F.radians(lat)) * F.sin(F.radians(lng_gap))))
-    return F.lit(EARTH_RADIUS_KM) * F.greatest(F.radians(lat_gap), across)
+    inside = f"pmod({lng} - {west}, 360.0D) <= {east} - {west}"
+    turn = f"least(pmod({west} - {lng}, 360.0D), pmod({lng} - {east}, 360.0D), 90.0D)"
+    lng_gap = f"radians(if({inside}, 0.0D, {turn}))"
+    return F.expr(f"""
+        {EARTH_RADIUS_KM}D * greatest(
+            radians(greatest(0.0D, {south} - {lat}, {lat} - {north})),
+            asin(least(1.0D, cos(radians({lat})) * sin({lng_gap}))))
+    """)

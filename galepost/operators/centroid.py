@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from galepost.session import stage
+
 # A group up to this size is summarised inside one aggregation buffer.
 BUFFERED_ROWS = 500_000
 
@@ -30,29 +32,27 @@ def group_median(
 ) -> DataFrame:
     """Row count and exact interpolated median of each value column per key.
 
-    Groups up to ``buffered_rows`` use the built-in aggregate, whose buffer holds all
-    values of the group. Larger groups are narrowed down by histograms instead, so
-    no task ever holds a whole one. Both branches read ``df``.
+    The built-in aggregate holds all values of a group in one buffer. The group sizes are
+    counted first; groups above ``buffered_rows`` are narrowed down by histograms
+    instead, so no task ever holds a whole one.
     """
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
-    large = sizes.filter(F.col("row_count") > buffered_rows).select(F.col(key).alias("_large"))
+    large = sizes.filter(F.col("row_count") > buffered_rows)
+    medians = [
+        F.count(F.lit(1)).alias("row_count"),
+        *(F.median(value).alias(value) for value in values),
+    ]
+    if large.isEmpty():
+        return df.groupBy(key).agg(*medians)
+    large = stage(large, "large-groups")
     same_key = F.col(key).eqNullSafe(F.col("_large"))
-    small_groups = (
-        df.join(large, same_key, "left_anti")
-        .groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            *(F.median(value).alias(value) for value in values),
-        )
-    )
-    crowded = df.join(large, same_key, "left_semi")
-    large_groups = sizes.filter(F.col("row_count") > buffered_rows)
+    large_keys = large.select(F.col(key).alias("_large"))
+    small_groups = df.join(large_keys, same_key, "left_anti").groupBy(key).agg(*medians)
+    crowded = df.join(large_keys, same_key, "left_semi")
     for value in values:
         narrowed = large_median(crowded, key, value).withColumnRenamed(key, "_key")
-        large_groups = large_groups.join(
-            narrowed, F.col(key).eqNullSafe(F.col("_key")), "left"
-        ).drop("_key")
-    return small_groups.unionByName(large_groups)
+        large = large.join(narrowed, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    return small_groups.unionByName(large)
 
 
 def large_median(

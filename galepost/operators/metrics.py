@@ -108,7 +108,8 @@ def histogram(df: DataFrame, value: str, bins: int = 40) -> DataFrame:
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    frame = limits.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("long"))
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))
+    frame = limits.withColumn("bin", F.explode(numbers))
     return frame.join(counts, "bin", "left").select(
         "bin",
         edge(F.col("bin")).alias("bin_lo"),

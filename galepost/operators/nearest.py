@@ -2,30 +2,24 @@
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from galepost.functions.geo import box_distance_floor_km, distance_km
+from galepost.session import stage
 
-# Sides of the nested search cells in degrees, each an eighth of the one before.
-CELL_DEGREES = (32.0, 4.0, 0.5, 0.0625, 0.0078125)
+# Sides of the nested search cells in degrees, each an eighth of the one before. The
+# coarsest grid bounds the number of cells every position starts from.
+CELL_DEGREES = (8.0, 1.0, 0.125, 0.015625)
 # Slack for floating point and for ranking on distances rounded to the millimetre.
 SLACK_KM = 0.001
-_ROW_STRIDE = 1_000_000
-
+BOX = ("south", "north", "west", "east", "south_lng")
 
-def _cell(lat: Column, lng: Column, degrees: float) -> Column:
-    """Number of the grid cell; longitudes must lie in [-180, 180)."""
-    row = F.floor((lat + 90.0) / degrees).cast("long")
-    column = F.floor((lng + 180.0) / degrees).cast("long")
-    return row * F.lit(_ROW_STRIDE) + column
 
-
-def _all_cells(degrees: float) -> list[int]:
-    rows, columns = ceil(180 / degrees) + 1, ceil(360 / degrees)
-    return [row * _ROW_STRIDE + column for row in range(rows) for column in range(columns)]
+def _cell(degrees: float) -> str:
+    """Number of a target's grid cell; longitudes lie in [-180, 180)."""
+    row, column = (f"floor((t_lat + 90) / {degrees}D)", f"floor((t_lng + 180) / {degrees}D)")
+    return f"{row} * 100000000L + {column}"
 
 
 def _wrapped(lng: Column) -> Column:
@@ -33,17 +27,22 @@ def _wrapped(lng: Column) -> Column:
     return F.when(inside, lng).otherwise(F.pmod(lng + 180.0, F.lit(360.0)) - 180.0)
 
 
-def _occupied(targets: DataFrame, parent: float, child: float) -> DataFrame:
-    """Occupied child cells under each parent cell: bounding box and one member."""
-    lat, lng = F.col("t_lat"), F.col("t_lng")
-    return targets.groupBy(
-        _cell(lat, lng, parent).alias("cell"), _cell(lat, lng, child).alias("child")
-    ).agg(
-        F.min(lat).alias("south"),
-        F.max(lat).alias("north"),
-        F.min(lng).alias("west"),
-        F.max(lng).alias("east"),
-        F.min_by(lng, F.struct(lat, lng)).alias("south_lng"),
+def _search_tree(targets: DataFrame, degrees: tuple[float, ...]) -> DataFrame:
+    """Every occupied cell of every grid: its parent cell, bounding box and one member."""
+    steps = ", ".join(
+        f"struct({level} as level, {_cell(parent)} as parent, {_cell(child)} as child)"
+        for level, (parent, child) in enumerate(zip((degrees[0], *degrees), degrees))
+    )
+    return (
+        targets.select("t_lat", "t_lng", F.expr(f"inline(array({steps}))"))
+        .groupBy("level", "parent", "child")
+        .agg(
+            F.min("t_lat").alias("south"),
+            F.max("t_lat").alias("north"),
+            F.min("t_lng").alias("west"),
+            F.max("t_lng").alias("east"),
+            F.expr("min_by(t_lng, struct(t_lat, t_lng))").alias("south_lng"),
+        )
     )
 
 
@@ -67,8 +66,11 @@ def nearest_join(
     box gives the least distance it can offer, one of its points a distance that is
     certainly reached, and children that cannot beat the best reached one are dropped.
     What survives per position is a handful of cells, however large the two sides are.
+
+    The distinct right points and their cells are written once, since every level reads
+    them while ``right`` may be a long daily history.
     """
-    targets = (
+    members = stage(
         right.filter(F.col(right_point).isNotNull())
         .select(
             F.col(f"{right_point}.lat").alias("t_lat"),
@@ -76,9 +78,10 @@ def nearest_join(
             F.col(right_id).alias("t_id"),
         )
         .groupBy("t_lat", "t_lng")
-        .agg(F.min("t_id").alias("t_id"))
+        .agg(F.min("t_id").alias("t_id")),
+        "nearest-points",
     )
-    lat, lng = F.col("p_lat"), F.col("p_lng")
+    tree = stage(_search_tree(members, cell_degrees), "nearest-cells")
     positions = (
         left.filter(F.col(left_point).isNotNull())
         .select(
@@ -86,42 +89,39 @@ def nearest_join(
         )
         .distinct()
     )
-    per_position = Window.partitionBy("p_lat", "p_lng")
-    open_cells = positions.withColumn(
-        "cell", F.explode(F.lit(_all_cells(cell_degrees[0])).cast("array<bigint>"))
-    )
-    for parent, child in zip((cell_degrees[0], *cell_degrees), cell_degrees):
-        box = [F.col(side) for side in ("south", "north", "west", "east")]
-        open_cells = (
-            open_cells.join(_occupied(targets, parent, child), "cell")
-            .select(
-                "p_lat",
-                "p_lng",
-                F.col("child").alias("cell"),
-                box_distance_floor_km(lat, lng, *box).alias("floor_km"),
-                distance_km(lat, lng, F.col("south"), F.col("south_lng")).alias("reached_km"),
-            )
-            .withColumn("best_km", F.min("reached_km").over(per_position))
-            .filter(F.col("floor_km") <= F.col("best_km") + SLACK_KM)
-            .select("p_lat", "p_lng", "cell")
+    position = Window.partitionBy("p_lat", "p_lng")
+    floor_km = box_distance_floor_km("p_lat", "p_lng", *BOX[:4]).alias("floor_km")
+    reached_km = distance_km("p_lat", "p_lng", "south", "south_lng")
+    best_km = F.min(reached_km).over(position).alias("best_km")
+
+    def survivors(opened: DataFrame) -> DataFrame:
+        scored = opened.select("p_lat", "p_lng", "child", floor_km, best_km)
+        return scored.filter(F.expr(f"floor_km <= best_km + {SLACK_KM}D")).select(
+            "p_lat", "p_lng", F.col("child").alias("parent")
+        )
+
+    # The occupied coarse cells: at most 24 x 45 with the default grid.
+    coarse = tree.filter("level = 0").agg(F.collect_list(F.struct("child", *BOX))).scalar()
+    cells = survivors(
+        positions.select("p_lat", "p_lng", F.explode(coarse).alias("node")).select(
+            "p_lat", "p_lng", "node.*"
         )
-    members = targets.withColumn("cell", _cell(F.col("t_lat"), F.col("t_lng"), cell_degrees[-1]))
+    )
+    for level in range(1, len(cell_degrees)):
+        children = tree.filter(f"level = {level}").select("parent", "child", *BOX)
+        cells = survivors(cells.join(children, "parent"))
+    leaves = members.withColumn("parent", F.expr(_cell(cell_degrees[-1])))
+    km = distance_km("p_lat", "p_lng", "t_lat", "t_lng")
     closest = (
-        open_cells.join(members, "cell")
+        cells.join(leaves, "parent")
         .groupBy("p_lat", "p_lng")
-        .agg(
-            F.min(
-                F.struct(
-                    distance_km(lat, lng, F.col("t_lat"), F.col("t_lng")).alias("km"), "t_id"
-                )
-            ).alias("closest")
-        )
+        .agg(F.min(F.struct(km.alias("km"), "t_id")).alias("closest"))
     )
     smallest_id = right.select(F.min(right_id)).scalar()
     return (
         left.join(
             closest,
-            (F.col(f"{left_point}.lat") == lat) & (F.col(f"{left_point}.lng") == lng),
+            F.expr(f"{left_point}.lat = p_lat and {left_point}.lng = p_lng"),
             "left",
         )
         .withColumn(id_name, F.coalesce(F.col("closest.t_id"), smallest_id))

@@ -10,19 +10,21 @@ MAX_HEAVY = 1024
 TRACKED = 32768
 
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = 1_000_000) -> DataFrame:
-    """Keys (at most ``MAX_HEAVY``) with at least ``min_rows`` rows and 1/MAX_HEAVY of all.
+def heavy_keys(df: DataFrame, key: str, min_rows: int = 1_000_000) -> DataFrame | None:
+    """Keys with at least ``min_rows`` rows and 1/MAX_HEAVY of all; None if there are none.
 
     One pass over the key column with a mergeable frequent-items sketch, no shuffle of
     the rows. The keys only choose how a plan spreads its work; results never depend
-    on them. Bounded by construction, so the table may be broadcast.
+    on them. At most ``MAX_HEAVY`` rows, so the table may be broadcast.
     """
     top = df.agg(
         F.expr(f"approx_top_k(`{key}`, {MAX_HEAVY}, {TRACKED})").alias("top"),
         F.count(F.lit(1)).alias("rows"),
     )
-    return (
+    found = (
         top.select("rows", F.inline("top"))
         .filter(F.col("count") >= F.greatest(F.lit(min_rows), F.col("rows") / F.lit(MAX_HEAVY)))
         .select(F.col("item").alias(key))
+        .collect()
     )
+    return df.sparkSession.createDataFrame(found, df.select(key).schema) if found else None

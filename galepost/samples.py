@@ -15,7 +15,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("orders", "lineitem", "supplier", "events")
+# Columns of the test tables in use; given, so that opening them reads no file.
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "events": "event_id bigint, user_id bigint, event_type string",
+}
 
 RAW_SQL = {
     "raw_orders": """
@@ -144,8 +152,9 @@ RAW_SQL = {
 
 def open_tables(spark: SparkSession, sf_dir: str) -> None:
     """Register the test tables the samples read as temporary views."""
-    for table in TABLES:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+    for table, schema in TABLES.items():
+        rows = spark.read.schema(schema).parquet(f"{sf_dir}/{table}.parquet")
+        rows.createOrReplaceTempView(table)
 
 
 def sample(spark: SparkSession, name: str) -> DataFrame:
