@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,18 +16,44 @@ class MissingColumnsError(ValueError):
     """A file lacks a header row or columns its dataset needs."""
 
 
+def quoted_newline_files(spark: SparkSession, paths: str | list[str]) -> dict[str, bool]:
+    """Every file, and whether a quoted field in it may run over several lines.
+
+    The first line of such a field has an odd number of quotes, so a file whose lines all
+    have an even number is safe to cut at any line.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+    files = lines.groupBy("file").agg(F.max(quotes % 2 == 1).alias("odd")).collect()
+    return {unquote(f["file"]): f["odd"] for f in files}
+
+
 def read_landed_csv(
-    spark: SparkSession, paths: str | list[str], quoted_newlines: bool = True
+    spark: SparkSession, paths: str | list[str], quoted_newlines: bool | None = None
 ) -> DataFrame:
     """All columns as text under normalised names; for equal names the last column wins.
 
-    A file whose quoted fields may hold line breaks can only be read front to back,
-    one task per file. Where fields never do, ``quoted_newlines=False`` lets Spark
-    split the files.
+    A field that holds line breaks forces Spark to read its file front to back in one
+    task. By default (None) one pass over the lines finds the files that need it, and
+    all others are split among the tasks. True or False skips that pass and treats all
+    files alike.
     """
+    if quoted_newlines is not None:
+        return _read_csv(spark, paths, quoted_newlines)
+    needs_whole = quoted_newline_files(spark, paths)
+    if len(set(needs_whole.values())) < 2:
+        return _read_csv(spark, paths, any(needs_whole.values()))
+    split, whole = (
+        _read_csv(spark, sorted(f for f, odd in needs_whole.items() if odd == kind), kind)
+        for kind in (False, True)
+    )
+    return split.unionByName(whole, allowMissingColumns=True)
+
+
+def _read_csv(spark: SparkSession, paths: str | list[str], multiline: bool) -> DataFrame:
     landed = (
         spark.read.option("header", True)
-        .option("multiLine", quoted_newlines)
+        .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
@@ -94,7 +121,7 @@ def read_dataset(
     spark: SparkSession,
     dataset: Dataset,
     paths: str | list[str],
-    quoted_newlines: bool = True,
+    quoted_newlines: bool | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Cleaned (valid, rejected) rows of one CSV dataset."""
     landed = select_expected(read_landed_csv(spark, paths, quoted_newlines), dataset.columns)

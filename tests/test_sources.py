@@ -35,6 +35,20 @@ def test_csv_is_read_by_name_and_tolerantly(spark, tmp_path):
     assert rejected.count() == 0
 
 
+def test_only_files_with_quoted_newlines_are_read_whole(spark, tmp_path):
+    plain = landed(tmp_path, 'x,y\n1,"a ""b"""\n2,c d\n', "plain one.csv")
+    broken = landed(tmp_path, 'y,x\n"line\nline",3\n', "broken.csv")
+    found = csv_files.quoted_newline_files(spark, [plain, broken])
+    by_name = {name.rsplit("/", 1)[1]: odd for name, odd in found.items()}
+    assert by_name == {"plain one.csv": False, "broken.csv": True}
+    expected = {("1", 'a "b"'), ("2", "c d"), ("3", "line\nline")}
+    rows = csv_files.read_landed_csv(spark, [plain, broken]).select("x", "y").collect()
+    assert {tuple(r) for r in rows} == expected
+    for split in (None, False, True):
+        alone = csv_files.read_landed_csv(spark, plain, split)
+        assert alone.count() == 2
+
+
 def test_repeated_header_names_keep_the_last_column(spark, tmp_path):
     path = landed(tmp_path, "a,b,A,b1, B \n1,2,3,4,5\n")
     got = csv_files.read_landed_csv(spark, path)
