@@ -61,6 +61,12 @@ class Models:
     def heavy_people(self) -> DataFrame | None:
         return heavy_keys(self.stg["customers"], marts.PERSON)
 
+    def weather(self) -> DataFrame:
+        """Staged weather over a raw table written once, for plans that read it repeatedly."""
+        return staging.stg_weather(
+            self._once("raw-weather", lambda: samples.sample(self.spark, "raw_weather"))
+        )
+
     def centroid_plan(self, exact: bool = True) -> DataFrame:
         return transform.zip_centroid(self.stg["geolocation"], exact)
 
@@ -68,7 +74,7 @@ class Models:
         return self._once("zip-centroid", self.centroid_plan)
 
     def bridge_plan(self) -> DataFrame:
-        return transform.weather_station_bridge(self.centroid(), self.stg["weather"])
+        return transform.weather_station_bridge(self.centroid(), self.weather())
 
     def bridge(self) -> DataFrame:
         return self._once("bridge", self.bridge_plan)
@@ -89,7 +95,7 @@ class Models:
             self.stg["customers"],
             self.stg["sellers"],
             self.bridge(),
-            self.stg["weather"],
+            self.weather(),
         )
 
     def fact(self) -> DataFrame:
@@ -112,6 +118,7 @@ class Models:
         """Every model the checks look at."""
         return {
             **{f"stg_{name}": self.stg[name] for name in staging.MODELS},
+            "stg_weather": self.weather(),
             "zip_centroid": self.centroid(),
             "weather_station_bridge": self.bridge(),
             "dim_customer_geography": self.dim(),
@@ -244,7 +251,7 @@ def _interval_join(strategy: str) -> Callable[[SparkSession, str], DataFrame]:
         )
         return interval_agg_join(
             located,
-            models.stg["weather"].withColumnRenamed("station_id", "destination_station_id"),
+            models.weather().withColumnRenamed("station_id", "destination_station_id"),
             "destination_station_id",
             "window_from",
             "window_to",

@@ -56,7 +56,9 @@ def aggregate_windows(
             .filter(F.col("_first") <= F.col("_last"))
             .select(*columns, F.explode(F.sequence("_first", "_last")).alias(day))
         )
-        return days.join(daily, [on, day]).groupBy(*columns).agg(*again)
+        # One fact per key and day makes an even hash table and saves sorting the many days.
+        hashed = daily.hint("shuffle_hash")
+        return days.join(hashed, [on, day]).groupBy(*columns).agg(*again)
     if strategy == "range":
         keyed = daily.withColumnRenamed(on, "_on")
         inside = (F.col(on) == F.col("_on")) & F.col(day).between(F.col(lo), F.col(hi))
@@ -67,13 +69,17 @@ def aggregate_windows(
 def attach_windows(
     left: DataFrame, summary: DataFrame, on: str, lo: str, hi: str, prefix: str = ""
 ) -> DataFrame:
-    """Add window aggregates to every left row; NULL where no fact lies in the window."""
+    """Add window aggregates to every left row; NULL where no fact lies in the window.
+
+    The summary has one row per window, so its share of a partition makes a small hash
+    table; rows that crowd on one window are split by the adaptive skew join.
+    """
     keys = ["_on", "_lo", "_hi"]
     renamed = summary.toDF(*keys, *(prefix + name for name in summary.columns[3:]))
     same_window = (
         (F.col(on) == F.col("_on")) & (F.col(lo) == F.col("_lo")) & (F.col(hi) == F.col("_hi"))
     )
-    return left.join(renamed, same_window, "left").drop(*keys)
+    return left.join(renamed.hint("shuffle_hash"), same_window, "left").drop(*keys)
 
 
 def interval_agg_join(

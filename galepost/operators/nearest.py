@@ -70,17 +70,18 @@ def nearest_join(
     The distinct right points and their cells are written once, since every level reads
     them while ``right`` may be a long daily history.
     """
-    members = stage(
-        right.filter(F.col(right_point).isNotNull())
-        .select(
-            F.col(f"{right_point}.lat").alias("t_lat"),
-            _wrapped(F.col(f"{right_point}.lng")).alias("t_lng"),
+    point = F.col(right_point)
+    targets = stage(
+        right.select(
+            point["lat"].alias("t_lat"),
+            _wrapped(point["lng"]).alias("t_lng"),
             F.col(right_id).alias("t_id"),
         )
         .groupBy("t_lat", "t_lng")
         .agg(F.min("t_id").alias("t_id")),
         "nearest-points",
     )
+    members = targets.filter("t_lat is not null and t_lng is not null")
     tree = stage(_search_tree(members, cell_degrees), "nearest-cells")
     positions = (
         left.filter(F.col(left_point).isNotNull())
@@ -117,7 +118,7 @@ def nearest_join(
         .groupBy("p_lat", "p_lng")
         .agg(F.min(F.struct(km.alias("km"), "t_id")).alias("closest"))
     )
-    smallest_id = right.select(F.min(right_id)).scalar()
+    smallest_id = targets.select(F.min("t_id")).scalar()
     return (
         left.join(
             closest,
