@@ -32,10 +32,10 @@ def aggregate_windows(
     as much as its different windows, not as its rows. Facts are reduced to one row per
     key and day.
 
-    ``explode`` turns a window into its days and joins on equality; windows are first cut to
-    the days that facts cover, so a stray far-off date costs no more than the calendar.
-    ``range`` joins on the key alone with a day condition, for windows so long that
-    most of a key's days fall inside.
+    Windows are first cut to the days that facts cover, so a stray far-off date costs no
+    more than the calendar. ``explode`` turns a window into its days and joins on equality.
+    ``range`` turns it into the months it touches and joins on key and month with a day
+    condition, for windows of many months.
     """
     columns = [on, lo, hi]
     distinct = (
@@ -47,23 +47,33 @@ def aggregate_windows(
         *(IDEMPOTENT[kind](source).alias(name) for name, (kind, source) in aggs.items())
     )
     again = [IDEMPOTENT[kind](name).alias(name) for name, (kind, _) in aggs.items()]
+    cut = (
+        distinct.withColumns(
+            {
+                "_first": F.greatest(F.col(lo), facts.select(F.min(day)).scalar()),
+                "_last": F.least(F.col(hi), facts.select(F.max(day)).scalar()),
+            }
+        )
+        # sequence() counts downwards from a first day that lies after the last.
+        .filter(F.col("_first") <= F.col("_last"))
+    )
+    # One fact per key and day makes an even hash table and saves sorting the many windows.
     if strategy == "explode":
-        first = F.greatest(F.col(lo), facts.select(F.min(day)).scalar())
-        last = F.least(F.col(hi), facts.select(F.max(day)).scalar())
-        days = (
-            distinct.withColumns({"_first": first, "_last": last})
-            # sequence() counts downwards from a first day that lies after the last.
-            .filter(F.col("_first") <= F.col("_last"))
-            .select(*columns, F.explode(F.sequence("_first", "_last")).alias(day))
+        days = cut.select(*columns, F.explode(F.sequence("_first", "_last")).alias(day))
+        matched = days.join(daily.hint("shuffle_hash"), [on, day])
+    elif strategy == "range":
+        month = F.expr("sequence(trunc(_first, 'MM'), trunc(_last, 'MM'), interval 1 month)")
+        months = cut.withColumn("_month", F.explode(month))
+        by_month = daily.withColumn("_month", F.trunc(day, "MM")).withColumnRenamed(on, "_on")
+        matched = months.withColumnRenamed("_month", "_in").join(
+            by_month.hint("shuffle_hash"),
+            (F.col(on) == F.col("_on"))
+            & (F.col("_in") == F.col("_month"))
+            & F.col(day).between(F.col("_first"), F.col("_last")),
         )
-        # One fact per key and day makes an even hash table and saves sorting the many days.
-        hashed = daily.hint("shuffle_hash")
-        return days.join(hashed, [on, day]).groupBy(*columns).agg(*again)
-    if strategy == "range":
-        keyed = daily.withColumnRenamed(on, "_on")
-        inside = (F.col(on) == F.col("_on")) & F.col(day).between(F.col(lo), F.col(hi))
-        return distinct.join(keyed, inside).groupBy(*columns).agg(*again)
-    raise ValueError(f"unknown strategy {strategy!r}")
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return matched.groupBy(*columns).agg(*again)
 
 
 def attach_windows(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galepost.functions.numeric import percent
@@ -17,6 +17,12 @@ from galepost.plans.transform import TOLERANCE_KM
 LATE = "is_late_delivery"
 
 
+def read_model(spark: SparkSession, table: str) -> DataFrame:
+    """A built model with lower-case column names, whatever the catalog made of them."""
+    model = spark.table(table)
+    return model.toDF(*(name.lower() for name in model.columns))
+
+
 def late_rate_by_severe(fact: DataFrame, role: str) -> DataFrame:
     """Late rate with and without severe weather at one end, unknown weather apart."""
     return null_aware_rate(fact, f"{role}_had_severe_weather", LATE)

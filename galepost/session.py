@@ -42,19 +42,23 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
     return tune(spark)
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can read, as the session names it.
 
-    Only a session without the setting (a local test) gets a folder of its own.
+    Only a local session without the setting (a test) gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="galepost-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="galepost-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from galepost.functions.geo import box_distance_floor_km, distance_km, make_point
 from galepost.functions.numeric import percent, round_half_even
 from galepost.functions.text import clean_text, normalize_name, parse_iso_date, parse_number
+from galepost.session import shared_folder, stage
 
 
 def apply(spark, values, kind, function):
@@ -92,3 +93,24 @@ def test_box_floor_never_exceeds_a_distance_into_the_box(spark):
         distance_km("lat", "lng", "in_lat", "in_lng").alias("km"),
     )
     assert scored.filter("least > km + 0.001").count() == 0
+
+
+class FakeSession:
+    """A session with or without a shared folder setting."""
+
+    def __init__(self, master, folder=None):
+        self.master, self.folder, self.applicationId = master, folder, f"app-{master}"
+        self.conf, self.sparkContext = self, self
+
+    def get(self, name, default):
+        return self.folder or default
+
+
+def test_shared_folder_is_the_sessions(spark):
+    assert shared_folder(FakeSession("cluster", "store://shared/")) == "store://shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession("cluster"))
+    local = shared_folder(FakeSession("local[2]"))
+    assert local == shared_folder(FakeSession("local[2]"))
+    staged = stage(spark.range(3), "numbers")
+    assert staged.count() == 3 and staged.inputFiles()[0].count(shared_folder(spark)) == 1
