@@ -164,8 +164,10 @@ def weather_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hub_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples.open_tables(tune(spark), sf_dir)
+    pinged = csv_files.pinged_prefixes(samples.sample(spark, "landed_geolocation"))
     return hub_ops.hub_reduction(
-        hub_pings(spark, sf_dir), relevant_prefixes(spark, sf_dir), weather_hubs(spark, sf_dir)
+        pinged, relevant_prefixes(spark, sf_dir), weather_hubs(spark, sf_dir)
     )
 
 

@@ -56,9 +56,9 @@ def weather_hubs(pings: DataFrame, relevant: DataFrame) -> DataFrame:
     )
 
 
-def hub_reduction(pings: DataFrame, relevant: DataFrame, hubs: DataFrame) -> DataFrame:
-    """One row: prefixes in the pings, relevant prefixes, hubs and the saving in percent."""
-    total = pings.select("zip_code_prefix").distinct().agg(F.count(F.lit(1)))
+def hub_reduction(pinged: DataFrame, relevant: DataFrame, hubs: DataFrame) -> DataFrame:
+    """One row: prefixes with pings, relevant prefixes, hubs and the saving in percent."""
+    total = pinged.agg(F.count(F.lit(1)))
     return hubs.agg(F.count(F.lit(1)).alias("hubs")).select(
         total.scalar().alias("total_prefixes"),
         relevant.agg(F.count(F.lit(1))).scalar().alias("relevant_prefixes"),

@@ -12,7 +12,7 @@ from galepost.operators.skew import heavy_keys
 from galepost.plans import marts, transform
 from galepost.plans.quality import quality_report
 from galepost.plans.staging import MODELS
-from galepost.sources.csv_files import located_pings, read_dataset
+from galepost.sources.csv_files import located_pings, pinged_prefixes, read_dataset
 from galepost.sources.registry import CSV_DATASETS, DATASETS
 from galepost.sources.tables import (
     append,
@@ -61,7 +61,7 @@ def plan_weather_requests(
     pings = located_pings(raw["geolocation"])
     relevant = relevant_prefixes(raw["customers"], raw["sellers"])
     hubs = weather_hubs(pings, relevant)
-    check_hubs(hub_reduction(pings, relevant, hubs))
+    check_hubs(hub_reduction(pinged_prefixes(raw["geolocation"]), relevant, hubs))
     pending = pending_hubs(hubs, raw["weather"], start, end, granularity, batch_size)
     numbered = hub_batches(pending.select("zip_code_prefix", "lat", "lng").distinct(), batch_size)
     return numbered.select(

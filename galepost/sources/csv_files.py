@@ -128,6 +128,13 @@ def read_dataset(
     return split_required(clean_columns(landed), dataset.required)
 
 
+def pinged_prefixes(geolocation: DataFrame) -> DataFrame:
+    """Prefixes with a ping whose fields are all filled, readable as numbers or not."""
+    fields = ("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng")
+    filled = geolocation.select(*(clean_text(F.col(f)).alias(f) for f in fields)).dropna()
+    return filled.select(F.col(fields[0]).alias("zip_code_prefix")).distinct()
+
+
 def located_pings(geolocation: DataFrame) -> DataFrame:
     """Pings whose prefix and coordinates are present and readable as numbers."""
     return geolocation.select(

@@ -40,6 +40,8 @@ def test_heavy_keys_are_few_and_optional(spark):
     df = spark.range(1000).selectExpr("if(id < 400, 'hot', cast(id as string)) k")
     assert rows(heavy_keys(df, "k", min_rows=100)) == [("hot",)]
     assert heavy_keys(df, "k") is None
+    unknown = spark.range(1000).selectExpr("if(id < 400, null, cast(id as string)) k")
+    assert rows(heavy_keys(unknown, "k", min_rows=100)) == [(None,)]
 
 
 # Centres
@@ -271,7 +273,8 @@ def test_hubs_merge_equal_rounded_positions(spark):
     assert sorted(rows(found)) == [
         ("01", 10.0, 20.0, "hub_10.0_20.0"), ("03", -23.51, -46.1, "hub_-23.51_-46.1"),
     ]
-    saving = hubs.hub_reduction(pings, relevant, found)
+    pinged = pings.select("zip_code_prefix").distinct()
+    saving = hubs.hub_reduction(pinged, relevant, found)
     assert rows(saving) == [(4, 4, 2, 50.0)]
     assert hubs.check_hubs(saving) is saving
     with pytest.raises(hubs.TooManyHubsError):

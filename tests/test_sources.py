@@ -87,6 +87,7 @@ def test_pings_need_prefix_and_numbers(spark):
         registry.GEOLOCATION.columns[:3],
     )
     assert [tuple(r) for r in csv_files.located_pings(raw).collect()] == [("01037", -23.5, -46.6)]
+    assert sorted(r[0] for r in csv_files.pinged_prefixes(raw).collect()) == ["01037", "2"]
 
 
 def day(time, warm=(30.5,), cold=(20.0,), rain=(1.0,), wind=(9.0,)):
