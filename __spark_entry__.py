@@ -24,6 +24,14 @@ from galepost.sources.registry import ORDERS  # noqa: E402
 
 from oracle_queries import ORACLE_SQL  # noqa: E402
 
+try:  # these folders may be left out
+    import corpus_pipeline  # noqa: E402
+    from galepost.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "galepost.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 RESUME_DAYS = (date(1998, 1, 5), date(1998, 1, 6))
 
@@ -371,9 +379,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_fact_rowcount": _model(
             lambda m: quality.fact_row_count(m.fact_plan(), m.stg["orders"])
         ),
+        **(llm_queries.QUERIES if llm_queries else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """For each query, SQL that DuckDB runs on the same tables."""
-    return dict(ORACLE_SQL)
+    return {
+        **ORACLE_SQL,
+        **(llm_queries.ORACLE_SQL if llm_queries else {}),
+        **(
+            {"pipeline": corpus_pipeline.ORACLE_SQL}
+            if corpus_pipeline and corpus_pipeline.ORACLE_SQL
+            else {}
+        ),
+    }
