@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from galepost.llm import byte_bpe, line_quality, secret_scan
+from galepost.llm import byte_bpe, decontaminate, jaccard_join, line_quality, secret_scan
 from galepost.llm.common import read_table
 from galepost.llm.queries import BYTE_RANKS
 from galepost.session import stage, tune
@@ -21,6 +21,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return line_quality.keep_quality(docs, model)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates one document stays."""
+    return jaccard_join.keep_one_per_group(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by marks; every document stays."""
     return secret_scan.redact_secrets(docs)
@@ -35,6 +45,8 @@ def byte_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("secrets", secrets),
     ("byte_ids", byte_ids),
 ]

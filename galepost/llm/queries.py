@@ -10,7 +10,18 @@ from pyspark.sql import functions as F
 
 from galepost.session import stage, tune
 
-from . import byte_bpe, chat_format, line_quality, secret_scan, token_records, url_filter
+from . import (
+    byte_bpe,
+    chat_format,
+    decontaminate,
+    jaccard_join,
+    language_id,
+    line_quality,
+    repeated_spans,
+    secret_scan,
+    token_records,
+    url_filter,
+)
 from .common import read_table
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +38,12 @@ def op1_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality_of(docs, model)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contamination(
+        read_table(tune(spark), sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
 def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(tune(spark), sf_dir, "conversations").select(
         "conv_id", "turn", "role", "text"
@@ -69,13 +86,30 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(coded, ranks, public_tokenizers.PATTERN)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(tune(spark), sf_dir, "documents")
+    return language_id.predict_languages(docs, language_id.fit_languages(docs))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(read_table(tune(spark), sf_dir, "documents"))
+
+
+def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans.remove_repeats(read_table(tune(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_quality": op1_line_quality,
+    "op2_decontamination": op2_decontamination,
     "op3_chat_windows": op3_chat_windows,
     "op4_token_records": op4_token_records,
     "op5_secret_scan": op5_secret_scan,
     "op6_url_filter": op6_url_filter,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_language_id": op8_language_id,
+    "op9_jaccard_join": op9_jaccard_join,
+    "op10_repeated_spans": op10_repeated_spans,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
