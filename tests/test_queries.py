@@ -39,10 +39,12 @@ def bag(columns, data):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    """Those that SQL cannot express have tests of their own beside their operators."""
+    own = {name for name in QUERIES if name == "pipeline" or name.startswith("op")}
+    assert set(QUERIES) - own <= set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ORACLES)
 def test_query_matches_oracle(spark, oracle, name):
     df = QUERIES[name](spark, SF_DIR)
     cursor = oracle.execute(ORACLES[name])
