@@ -134,8 +134,8 @@ def chat_windows(
     budget leaves beside the system turn, the history and the longest turn. A turn is taught
     in the window in which its prefix sum falls, whole. Turns that begin within ``history``
     tokens before a window are repeated in it without loss, and so is a leading system turn.
-    A window exceeds the budget only where the system turn, the longest turn and twice the
-    history do not fit in it.
+    Short of room, the history takes half of it at most. A window exceeds the budget only
+    where the system turn and the longest turn alone do not fit in it.
 
     Rows are ordered by turn (null first), then role and text, so ties and repeated rows have
     a fixed place. Null roles and texts count as empty, a null ``conv_id`` is one
@@ -166,11 +166,11 @@ def chat_windows(
     )
     limits = limits.withColumn(
         "room", F.lit(budget) - F.col("longest") - F.coalesce(F.col("system.tokens"), F.lit(0))
-    ).withColumn("kept", F.greatest(F.least(F.lit(history), F.col("room")), F.lit(0)))
+    ).withColumn(
+        "kept", F.greatest(F.least(F.lit(history), F.floor(F.col("room") / 2)), F.lit(0))
+    )
     limits = stage(
-        limits.withColumn(
-            "stride", F.greatest(F.col("room") - F.col("kept"), F.col("kept"), F.lit(1))
-        ),
+        limits.withColumn("stride", F.greatest(F.col("room") - F.col("kept"), F.lit(1))),
         "chat-limits",
     )
     cut = placed.join(limits.select(*keys, "stride", "kept"), keys).withColumn(

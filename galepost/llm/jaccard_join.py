@@ -568,20 +568,27 @@ def keep_one_per_group(docs: DataFrame, **options) -> DataFrame:
     of one row, equal in id and text, any one stays.
     """
     rows, classes = near_duplicates(docs, **options)
+    mark = "__"
+    while any(name.lower().startswith(f"{mark}key") for name in docs.columns):
+        mark += "_"
+    keys = [f"{mark}key{i}" for i in range(3)]
+
+    def keyed(tie: F.Column) -> list[F.Column]:
+        return [
+            F.coalesce("doc_id", F.lit(0)).alias(keys[0]),
+            F.col("doc_id").isNull().alias(keys[1]),
+            tie.alias(keys[2]),
+        ]
+
     kept = (
         classes.select("keeper.doc_id", "keeper.tie")
         .distinct()
         .unionByName(rows.where("sid IS NULL").select("doc_id", "tie").distinct())
-        .select(
-            F.coalesce("doc_id", F.lit(0)).alias("__id"),
-            F.col("doc_id").isNull().alias("__no_id"),
-            F.col("tie").alias("__tie"),
-        )
+        .select(*keyed(F.col("tie")))
     )
-    keys = ["__id", "__no_id", "__tie"]
-    keyed = (
-        docs.withColumn("__id", F.coalesce("doc_id", F.lit(0)))
-        .withColumn("__no_id", F.col("doc_id").isNull())
-        .withColumn("__tie", text_key())
+    return (
+        docs.select("*", *keyed(text_key()))
+        .join(kept, keys, "left_semi")
+        .dropDuplicates(keys)
+        .drop(*keys)
     )
-    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
