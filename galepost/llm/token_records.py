@@ -2,8 +2,9 @@
 
 A record is the payload's length (8 bytes, little-endian), the masked CRC-32 of those 8
 bytes, the payload, and the masked CRC-32 of the payload. The payload is the ids as
-little-endian unsigned 32-bit integers. The index is a Parquet table beside the shards with
-the place of every record, so single sequences can be read in any order.
+little-endian unsigned integers, of 16 bits where the vocabulary allows it, else of 32. The
+index is a Parquet table beside the shards with the place of every record and the width of
+its ids, so single sequences can be read in any order.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -27,7 +29,7 @@ from .common import batch_of, map_batches, rows_of, text_key
 from .running import carried
 
 END_ID = 2
-CACHED_WORDS = 400_000
+CACHED_PIECES = 400_000
 _HEAD = struct.Struct("<QI")
 _TAIL = struct.Struct("<I")
 
@@ -64,35 +66,59 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-class WordEncoder:
-    """Ids of whole texts, each blank-separated word encoded once while it is cached.
+# The vocabulary's own way to split lower-case text; white space is dropped.
+_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
-    This vocabulary drops white space and its merges never cross it, so a text's ids are
-    those of its words in order. The strings of special tokens count as ordinary text.
+# What every version of the character tables splits and lowers alike, and composition leaves
+# alone. Texts with any other character are given to the library as they are.
+_UNCOMMON = regex.compile(r"[^\x00-\x1b\x20-\x84\x86-\u024f]")
+
+
+class PieceIds:
+    """Ids of whole texts, each distinct piece encoded once while it is cached.
+
+    The merges of this vocabulary never cross a piece, so a text's ids are those of its pieces
+    in order. The strings of special tokens count as ordinary text.
     """
 
-    def __init__(self, path: str, entries: int = CACHED_WORDS):
+    def __init__(self, path: str, dtype: str = "<u4", entries: int = CACHED_PIECES):
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        self.dtype = np.dtype(dtype)
         self.entries = entries
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.model.encode_batch(words, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.model.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, dtype=self.dtype).tobytes() for x in found]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         known = self.known
         if len(known) > self.entries:
             known.clear()
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list({word for words in split for word in words if word not in known})
+        out: list[bytes] = [b""] * len(texts)
+        uncommon = [n for n, text in enumerate(texts) if _UNCOMMON.search(text)]
+        whole = self._encode([texts[n] for n in uncommon]) if uncommon else []
+        for n, ids in zip(uncommon, whole, strict=True):
+            out[n] = ids
+        skip = set(uncommon)
+        split = [
+            (n, _PIECE.findall(text.lower())) for n, text in enumerate(texts) if n not in skip
+        ]
+        new = list({piece for _, pieces in split for piece in pieces if piece not in known})
         own: dict[str, bytes] = {}
-        for word, ids in zip(new, self._encode(new), strict=True):
-            (known if len(word) <= 64 else own)[word] = ids
-        if own:
-            return [b"".join([known.get(w) or own.get(w, b"") for w in words]) for words in split]
-        return [b"".join([known[w] for w in words]) for words in split]
+        for piece, ids in zip(new, self._encode(new) if new else [], strict=True):
+            (known if len(piece) <= 64 else own)[piece] = ids
+        find = {**known, **own}.__getitem__ if own else known.__getitem__
+        for n, pieces in split:
+            out[n] = b"".join(map(find, pieces))
+        return out
+
+
+def id_type(path: str, end_id: int) -> str:
+    """The narrower of the two id types that holds the whole vocabulary."""
+    size = max(Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True), end_id + 1)
+    return "<u2" if size <= 1 << 16 else "<u4"
 
 
 _INDEX = pa.schema(
@@ -102,6 +128,7 @@ _INDEX = pa.schema(
         ("doc_id", pa.int64()),
         ("offset", pa.int64()),
         ("size", pa.int64()),
+        ("width", pa.int32()),
     ]
 )
 
@@ -118,11 +145,13 @@ def write_records(
     """
     spark = docs.sparkSession
     folder = folder or f"{shared_folder(spark)}/galepost/records-{uuid.uuid4().hex}"
-    tail = np.array([end_id], dtype="<u4").tobytes()
+    dtype = id_type(tokenizer_file, end_id)
+    width = np.dtype(dtype).itemsize
+    tail = np.array([end_id], dtype=dtype).tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = open_folder(folder)
-        encode = WordEncoder(tokenizer_file)
+        encode = PieceIds(tokenizer_file, dtype)
         task = TaskContext.get()
         shard = task.partitionId()
         system.create_dir(path, recursive=True)
@@ -136,7 +165,7 @@ def write_records(
                 for doc, ids in zip(docs_of, encode([t or "" for t in texts]), strict=True):
                     record = frame(ids + tail)
                     sink.write(record)
-                    out.append((shard, ordinal, doc, at, len(record)))
+                    out.append((shard, ordinal, doc, at, len(record), width))
                     at += len(record)
                     ordinal += 1
                 yield batch_of(out, _INDEX)
@@ -153,7 +182,9 @@ def write_records(
         .select("doc_id", "text")
     )
     index = map_batches(
-        ordered, write, "shard int, ordinal long, doc_id long, offset long, size long"
+        ordered,
+        write,
+        "shard int, ordinal long, doc_id long, offset long, size long, width int",
     )
     index.write.parquet(f"{folder}/index")
     return folder
@@ -182,7 +213,7 @@ def read_records(spark, folder: str, with_ids: bool = True) -> DataFrame:
         try:
             for batch in batches:
                 out = []
-                for shard, ordinal, doc, offset, _ in rows_of(batch):
+                for shard, ordinal, doc, offset, _, width in rows_of(batch):
                     if shard != current:
                         if source:
                             source.close()
@@ -190,7 +221,8 @@ def read_records(spark, folder: str, with_ids: bool = True) -> DataFrame:
                         current, total = shard, 0
                     if source.tell() != offset:
                         source.seek(offset)
-                    ids = read_record(source)
+                    ids = np.frombuffer(read_record(source), dtype=f"<u{width}")
+                    ids = ids.astype("<u4").tobytes()
                     out.append(
                         (shard, doc, ordinal, len(ids) // 4, total, zlib.crc32(ids),
                          ids if with_ids else None)
