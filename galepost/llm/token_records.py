@@ -13,9 +13,11 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyarrow import fs
 from pyspark import TaskContext
@@ -29,7 +31,9 @@ from .common import batch_of, map_batches, rows_of, text_key
 from .running import carried
 
 END_ID = 2
-CACHED_PIECES = 400_000
+# Entries of a generation of the caches; two are held.
+CACHED_WORDS = 200_000
+CACHED_PIECES = 150_000
 _HEAD = struct.Struct("<QI")
 _TAIL = struct.Struct("<I")
 
@@ -69,52 +73,121 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
 # The vocabulary's own way to split lower-case text; white space is dropped.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
+def _shown_bytes() -> dict[int, int]:
+    """The character that stands for each byte in the vocabulary: printable ones for
+    themselves, the others in order from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b if b in plain else 256 + rest.index(b) for b in range(256)}
+
+
+_SHOWN = _shown_bytes()
+
 # What every version of the character tables splits and lowers alike, and composition leaves
 # alone. Texts with any other character are given to the library as they are.
-_UNCOMMON = regex.compile(r"[^\x00-\x1b\x20-\x84\x86-\u024f]")
+_UNCOMMON = regex.compile(r"[^\x00-\x1b\x20-\x84\x86-\u012f\u0131-\u024f]")
+
+
+class Recent:
+    """A bounded cache: entries not asked for during a whole generation go."""
+
+    def __init__(self, entries: int):
+        self.entries = entries
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Those of ``keys`` that are not known; the others are in ``young`` afterwards."""
+        young, old = self.young, self.old
+        out = []
+        for key in keys - young.keys():
+            value = old.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                young[key] = value
+        return out
+
+    def age(self) -> None:
+        """Called when nothing that was asked for is needed any more."""
+        if len(self.young) > self.entries:
+            self.young, self.old = {}, self.young
 
 
 class PieceIds:
-    """Ids of whole texts, each distinct piece encoded once while it is cached.
+    """Ids of whole texts; distinct words and pieces are encoded once while they are cached.
 
-    The merges of this vocabulary never cross a piece, so a text's ids are those of its pieces
-    in order. The strings of special tokens count as ordinary text.
+    The merges of this vocabulary never cross a piece and no piece holds white space, so a
+    text's ids are those of its pieces in order. The strings of special tokens count as
+    ordinary text.
     """
 
-    def __init__(self, path: str, dtype: str = "<u4", entries: int = CACHED_PIECES):
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+    def __init__(
+        self, path: str, dtype: str = "<u4", words: int = CACHED_WORDS, pieces: int = CACHED_PIECES
+    ):
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True
+        self.model = self.whole.model
         self.dtype = np.dtype(dtype)
-        self.entries = entries
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.model.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype=self.dtype).tobytes() for x in found]
+        self.words = Recent(words)
+        self.pieces = Recent(pieces)
+
+    def _encode(self, text: str) -> bytes:
+        ids = self.whole.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype=self.dtype).tobytes()
+
+    def _merge(self, piece: str) -> bytes:
+        """Ids of one piece by the merges alone, which is all that is left to do with it."""
+        shown = piece.encode().decode("latin-1").translate(_SHOWN)
+        return np.array([t.id for t in self.model.tokenize(shown)], dtype=self.dtype).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Put the ids of lower-case words into the cache."""
+        split = [(w, (w,) if w.isalpha() else _PIECE.findall(w)) for w in words]
+        ids = self.pieces.young
+        for piece in self.pieces.missing({piece for _, pieces in split for piece in pieces}):
+            ids[piece] = self._merge(piece)
+        for word, pieces in split:
+            self.words.young[word] = b"".join([ids[piece] for piece in pieces])
+        self.pieces.age()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > self.entries:
-            known.clear()
         out: list[bytes] = [b""] * len(texts)
-        uncommon = [n for n, text in enumerate(texts) if _UNCOMMON.search(text)]
-        whole = self._encode([texts[n] for n in uncommon]) if uncommon else []
-        for n, ids in zip(uncommon, whole, strict=True):
-            out[n] = ids
-        skip = set(uncommon)
-        split = [
-            (n, _PIECE.findall(text.lower())) for n, text in enumerate(texts) if n not in skip
-        ]
-        new = list({piece for _, pieces in split for piece in pieces if piece not in known})
-        own: dict[str, bytes] = {}
-        for piece, ids in zip(new, self._encode(new) if new else [], strict=True):
-            (known if len(piece) <= 64 else own)[piece] = ids
-        find = {**known, **own}.__getitem__ if own else known.__getitem__
-        for n, pieces in split:
-            out[n] = b"".join(map(find, pieces))
+        common = []
+        for n, text in enumerate(texts):
+            if _UNCOMMON.search(text):
+                out[n] = self._encode(text)
+            else:
+                common.append(n)
+        lists = pc.utf8_split_whitespace(
+            pc.utf8_lower(pa.array([texts[n] for n in common], type=pa.large_string()))
+        )
+        coded = pc.list_flatten(lists).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        self._learn(self.words.missing(set(words)))
+        ids = [self.words.young[word] for word in words]
+        self.words.age()
+        # Word by word: where its ids are in all ids of the distinct words, and how many.
+        data = np.frombuffer(b"".join(ids), dtype=self.dtype)
+        count = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        first = np.cumsum(count) - count
+        word = coded.indices.to_numpy()
+        size = count[word]
+        end = np.cumsum(size)
+        place = np.repeat(first[word] - (end - size), size) + np.arange(len(word) and end[-1])
+        whole = data[place]
+        cut = np.concatenate([[0], end])[np.asarray(lists.offsets)]
+        for k, n in enumerate(common):
+            out[n] = whole[cut[k] : cut[k + 1]].tobytes()
         return out
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str, dtype: str) -> PieceIds:
+    """The encoder of a Python worker, kept from one task to the next."""
+    return PieceIds(path, dtype)
+
+
 def id_type(path: str, end_id: int) -> str:
     """The narrower of the two id types that holds the whole vocabulary."""
     size = max(Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True), end_id + 1)
@@ -151,7 +224,7 @@ def write_records(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = open_folder(folder)
-        encode = PieceIds(tokenizer_file, dtype)
+        encode = shared_encoder(tokenizer_file, dtype)
         task = TaskContext.get()
         shard = task.partitionId()
         system.create_dir(path, recursive=True)
