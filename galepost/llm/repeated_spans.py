@@ -2,14 +2,18 @@
 
 Where a byte string of the wanted length occurs twice, both places choose the same anchor in
 it: the run of bytes with the least hash. So texts are cut into pieces, each the strings of
-one anchor, and only pieces of equal anchors need to be sorted together. Equal pieces are
-merged first; of the rest, whole groups are put in collections of bounded size, whose
-Burrows-Wheeler transform and common prefixes are built column by column. A group too large
-for one collection is cut finer, in the end to single strings, until what is left fits.
+one anchor, and only pieces of equal anchors can share strings. Equal pieces are settled by
+counting them. The others are cut where the anchor's place in their strings passes a multiple
+of a step: all strings of such a part have a long core in common, and parts of equal cores
+form a group. Whole groups are put in collections of bounded size, a core shortened to a few
+symbols that name it, and the Burrows-Wheeler transform and the common prefixes of a
+collection are built column by column. A group too large for a collection is cut with a
+smaller step, in the end to single strings, which counting settles.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -25,14 +29,19 @@ from .column_bwt import Collection
 from .common import MASK64, batch_of, map_batches, mix64, rows_of, text_key
 
 LENGTH = 400
-GRAM = 32
+GRAM = 64
 
 # Pieces of a collection, and the largest group that is sorted in one.
-COLLECTION = 384
-LARGEST_GROUP = 1024
+COLLECTION = 1500
+LARGEST_GROUP = 4096
 
-# Strings whose anchor is at about the same place, in the finer cuts of large groups.
-FINER = (16, 1)
+# How far the anchor's place may differ within a part, from one cut to the next.
+STEPS = (64, 8, 1)
+
+# Bytes that no UTF-8 text has; a few of them name a core. As many names as a collection of
+# the largest size may need.
+_NAME_BYTES = bytes([0xC0, 0xC1, *range(0xF5, 0xFE)])
+_NAME_LENGTH = 4
 
 # Starts that are looked at together when a text is cut.
 CUT_BLOCK = 1 << 20
@@ -88,23 +97,33 @@ def cut(text: bytes, length: int = LENGTH, gram: int = GRAM) -> list[tuple[int,
 
 def finer(
     text: bytes, key: int, start: int, strings: int, anchor: int, step: int, length: int = LENGTH
-) -> Iterator[tuple[int, int, int]]:
-    """(key, start, strings) of a piece cut where the anchor's place in the strings passes a
-    multiple of ``step``. The key now covers the bytes that all such strings have."""
+) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """(key, start, strings, left, edges) of a piece cut where the anchor's place in its strings
+    passes a multiple of ``step``. The key covers the core, the bytes that all strings of such
+    a part have; the edges are the ``left`` bytes before it and those after."""
     while strings:
         turn = (anchor - start) // step
-        count = min(strings, anchor - start - turn * step + 1)
-        # Strings that start at anchor - turn * step - step + 1 up to anchor - turn * step.
-        core = text[anchor - turn * step : anchor - turn * step - step + 1 + length]
-        yield (
-            xxhash.xxh3_64_intdigest(core, seed=(key ^ turn) & MASK64),
-            start,
-            count,
-        )
+        first = anchor - turn * step  # where the last string of the part may start
+        count = min(strings, first - start + 1)
+        end = first - step + 1 + length
+        name = xxhash.xxh3_64_intdigest(text[first:end], seed=(key ^ turn) & MASK64)
+        edges = text[start:first] + text[end : start + count - 1 + length]
+        yield name, start, count, first - start, edges
         start += count
         strings -= count
 
 
+def core_name(number: int) -> bytes:
+    """The symbols that stand for the core of a group of a collection."""
+    digits = []
+    for _ in range(_NAME_LENGTH):
+        number, digit = divmod(number, len(_NAME_BYTES))
+        digits.append(_NAME_BYTES[digit])
+    if number:
+        raise ValueError("too many groups in a collection")
+    return bytes(digits)
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
@@ -133,28 +152,39 @@ _PLACE = pa.struct(
         ("start", pa.int64()),
         ("strings", pa.int32()),
         ("anchor", pa.int64()),
+        ("left", pa.int32()),
+        ("edges", pa.binary()),
     ]
 )
-_PLACE_DDL = "array<struct<key:long,name:long,start:long,strings:int,anchor:long>>"
+_PLACE_DDL = (
+    "array<struct<key:long,name:long,start:long,strings:int,anchor:long,left:int,edges:binary>>"
+)
 _CUT = pa.schema(
     [("id", pa.int64()), ("no_id", pa.bool_()), ("tie", pa.int64()), ("pieces", pa.list_(_PLACE))]
 )
 
 
-def _places(rows: list[tuple]) -> pa.ListArray:
-    """Lists of (key, name, start, strings, anchor) as one array."""
-    sizes = [len(r) for r in rows]
-    flat = [x for r in rows for x in r]
-    columns = list(zip(*flat, strict=True)) if flat else [()] * 5
+def _cut_batch(names: list[list], found: list[list[tuple]]) -> pa.RecordBatch:
+    """Names of texts and lists of their pieces as one batch."""
+    flat = [x for rows in found for x in rows]
+    columns = list(zip(*flat, strict=True)) if flat else [()] * len(_PLACE)
     struct = pa.StructArray.from_arrays(
         [pa.array(c, type=f.type) for c, f in zip(columns, _PLACE, strict=True)], fields=list(_PLACE)
     )
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), struct)
+    offsets = np.concatenate([[0], np.cumsum([len(rows) for rows in found])]).astype(np.int32)
+    keys = list(zip(*names, strict=True)) if names else [(), (), ()]
+    return pa.RecordBatch.from_arrays(
+        [
+            *(pa.array(c, type=f.type) for c, f in zip(keys, _CUT, strict=False)),
+            pa.ListArray.from_arrays(pa.array(offsets), struct),
+        ],
+        schema=_CUT,
+    )
 
 
 def _cut_texts(docs: DataFrame, length: int) -> DataFrame:
     """The pieces of every text that is long enough, one row per text."""
+    gram = min(GRAM, 1 << ((length + 1) // 2).bit_length() - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,29 +195,23 @@ def _cut_texts(docs: DataFrame, length: int) -> DataFrame:
                     names.append(name)
                     found.append(
                         [
-                            (key, _named(data, start, strings, length), start, strings, anchor)
-                            for start, strings, anchor, key in cut(data, length)
+                            (key, _named(data, start, strings, length), start, strings, anchor,
+                             None, None)
+                            for start, strings, anchor, key in cut(data, length, gram)
                         ]
-                    )
-            columns = list(zip(*names, strict=True)) if names else [(), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(pa.array(c, type=f.type) for c, f in zip(columns, _CUT, strict=False)),
-                    _places(found),
-                ],
-                schema=_CUT,
-            )
+                    )
+            yield _cut_batch(names, found)
 
     texts = _keyed(docs).where(F.octet_length("text") >= length)
     return map_batches(texts, run, f"{_DOC}, pieces {_PLACE_DDL}")
 
 
 def _recut(docs: DataFrame, pieces: DataFrame, step: int, length: int) -> DataFrame:
-    """Pieces of large groups, cut finer."""
+    """Parts of the given pieces, one row per text. Repetitions of a text give theirs each;
+    such pieces occur more than once anyway."""
     asked = pieces.groupBy(*_KEYS).agg(
-        F.collect_list(F.struct("key", "name", "start", "strings", "anchor")).alias("asked")
+        F.collect_list(F.struct("key", "start", "strings", "anchor")).alias("asked")
     )
-    # Repetitions of a text would come out once for each.
     texts = _keyed(docs).join(asked, _KEYS).select(*_KEYS, "text", "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,61 +221,21 @@ def _recut(docs: DataFrame, pieces: DataFrame, step: int, length: int) -> DataFr
                 data = text.encode("utf-8", "surrogatepass")
                 rows = []
                 for p in asked:
-                    for key, start, strings in finer(
+                    for key, start, strings, left, edges in finer(
                         data, p["key"], p["start"], p["strings"], p["anchor"], step, length
                     ):
+                        # Parts of one core are equal where the edges and their places are.
+                        own = xxhash.xxh3_64_intdigest(edges, seed=(left << 32) | strings)
                         rows.append(
-                            (_signed(key), _named(data, start, strings, length), start, strings,
-                             p["anchor"])
-                        )
+                            (_signed(key), _signed(own), start, strings, p["anchor"], left, edges)
+                        )
                 names.append(name)
                 found.append(rows)
-            columns = list(zip(*names, strict=True)) if names else [(), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(pa.array(c, type=f.type) for c, f in zip(columns, _CUT, strict=False)),
-                    _places(found),
-                ],
-                schema=_CUT,
-            )
+            yield _cut_batch(names, found)
 
     return map_batches(texts, run, f"{_DOC}, pieces {_PLACE_DDL}")
 
 
-_BYTES = pa.schema(
-    [
-        ("key", pa.int64()),
-        ("id", pa.int64()),
-        ("no_id", pa.bool_()),
-        ("tie", pa.int64()),
-        ("start", pa.int64()),
-        ("strings", pa.int32()),
-        ("data", pa.binary()),
-    ]
-)
-
-
-def _with_bytes(docs: DataFrame, pieces: DataFrame, length: int) -> DataFrame:
-    asked = pieces.groupBy(*_KEYS).agg(
-        F.collect_list(F.struct("key", "start", "strings")).alias("asked")
-    )
-    texts = _keyed(docs).join(asked, _KEYS).select(*_KEYS, "text", "asked")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for *name, text, asked in rows_of(batch):
-                data = text.encode("utf-8", "surrogatepass")
-                for p in asked:
-                    start, strings = p["start"], p["strings"]
-                    out.append(
-                        (p["key"], *name, start, strings, data[start : start + strings + length - 1])
-                    )
-            yield batch_of(out, _BYTES)
-
-    return map_batches(texts, run, f"key long, {_DOC}, start long, strings int, data binary")
-
-
 _SPAN = pa.schema(
     [
         ("id", pa.int64()),
@@ -261,14 +245,22 @@ _SPAN = pa.schema(
         ("strings", pa.int32()),
     ]
 )
-_SPAN_DDL = f"{_DOC}, start long, strings int"
 
 
-def _sorted_spans(pieces: DataFrame, length: int, collection: int) -> DataFrame:
-    """Runs of starts whose strings occur twice, from collections of whole groups."""
+def _sorted_spans(parts: DataFrame, step: int, collection: int) -> DataFrame:
+    """Runs of starts whose strings occur twice, from collections of whole groups.
+
+    With the core named by symbols of its own, strings are equal where ``step - 1`` bytes of
+    the edges and the name are.
+    """
 
     def spans(rows: list[tuple]) -> list[tuple]:
-        built = Collection([r[6] for r in rows], length)
+        groups: dict[int, bytes] = {}
+        texts = []
+        for key, *_, left, edges in rows:
+            name = groups.setdefault(key, core_name(len(groups)))
+            texts.append(edges[:left] + name + edges[left:])
+        built = Collection(texts, step - 1 + _NAME_LENGTH)
         built.build()
         marks = [np.zeros(r[5], dtype=bool) for r in rows]
         for text, start in built.repeated():
@@ -294,14 +286,23 @@ def _sorted_spans(pieces: DataFrame, length: int, collection: int) -> DataFrame:
             yield batch_of(spans(waiting), _SPAN)
 
     return map_batches(
-        pieces.select("key", *_KEYS, "start", "strings", "data")
+        parts.select("key", *_KEYS, "start", "strings", "left", "edges")
         .repartition("key")
         .sortWithinPartitions("key"),
         run,
-        _SPAN_DDL,
+        f"{_DOC}, start long, strings int",
     )
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written and read again; the shuffle files behind it are then of no use, and
+    Spark deletes them when the driver's garbage is collected."""
+    done = stage(df, label)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return done
+
+
 def repeated_strings(
     docs: DataFrame,
     length: int = LENGTH,
@@ -310,38 +311,49 @@ def repeated_strings(
 ) -> DataFrame:
     """``(id, no_id, tie, start, strings)``: runs of starts, in bytes, of strings of ``length``
     bytes that start anywhere else too. Rows that agree in id and text share their runs."""
-    pieces = stage(_cut_texts(docs, length), "repeats-cut")
+    pieces = _written(_cut_texts(docs, length), "repeats-cut")
+    steps = [s for s in STEPS if s <= length // 2] or [1]
     found = None
-    for step in (*FINER, None):
+    for level, step in enumerate([None, *steps]):
         each = pieces.select(*_KEYS, F.explode("pieces").alias("p")).select(*_KEYS, "p.*")
-        named = stage(
-            each.groupBy("key", "name").agg(F.count("*").alias("times")), "repeats-names"
-        )
-        groups = named.groupBy("key").agg(
-            F.sum("times").alias("total"), F.count("*").alias("different")
+        if step is not None:
+            # Parts of single strings have no edges and need no sorting.
+            each = each if step > 1 else each.drop("edges", "left")
+        groups = each.groupBy("key").agg(
+            F.count("*").alias("total"), (F.min("name") != F.max("name")).alias("different")
         )
-        shared = stage(
-            named.join(groups.where("total > 1"), "key").drop("total"), "repeats-shared"
+        shared = _written(
+            each.join(groups.where("total > 1").drop("total"), "key"), "repeats-shared"
         )
-        placed = stage(each.join(shared, ["key", "name"]), "repeats-placed")
-        # All strings of a piece that occurs twice do.
-        spans = placed.where("times > 1").select(*_KEYS, "start", "strings")
-        different = placed.where("different > 1")
-        one_each = different.groupBy("key", "name", "different").agg(
-            F.min(F.struct(*_KEYS, "start", "strings", "anchor")).alias("p")
+        named = shared.groupBy("key", "name").agg(
+            F.count("*").alias("times"), F.min(F.struct(*_KEYS, "start")).alias("first")
         )
-        one_each = stage(
-            one_each.select("key", "name", "different", "p.*"), "repeats-different"
+        # All strings of a piece that occurs twice do; of equal pieces one goes on.
+        counted = _written(
+            shared.join(named, ["key", "name"])
+            .withColumn("goes_on", F.col("different") & (F.col("first") == F.struct(*_KEYS, "start")))
+            .where("times > 1 OR goes_on")
+            .drop("first", "different", "name"),
+            "repeats-counted",
         )
-        small = one_each.where(F.col("different") <= largest_group)
-        sorted_spans = _sorted_spans(_with_bytes(docs, small, length), length, collection)
-        sorted_spans = stage(sorted_spans, "repeats-sorted")
-        spans = spans.unionByName(sorted_spans)
+        spans = counted.where("times > 1").select(*_KEYS, "start", "strings")
         found = spans if found is None else found.unionByName(spans)
-        large = one_each.where(F.col("different") > largest_group)
-        if step is None or not large.take(1):
+        left_over = counted.where("goes_on").drop("times", "goes_on")
+        if step == 1:
+            break
+        if step is None:
+            large = left_over
+        else:
+            sizes = left_over.groupBy("key").agg(F.count("*").alias("members"))
+            sized = _written(left_over.join(sizes, "key"), "repeats-different")
+            small = sized.where(F.col("members") <= largest_group)
+            found = found.unionByName(
+                _written(_sorted_spans(small, step, collection), "repeats-sorted")
+            )
+            large = sized.where(F.col("members") > largest_group)
+        if not large.take(1):
             break
-        pieces = stage(_recut(docs, large, step, length), "repeats-recut")
+        pieces = _written(_recut(docs, large, steps[level], length), "repeats-recut")
     return found
 
 

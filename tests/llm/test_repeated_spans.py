@@ -82,7 +82,7 @@ def test_finer_pieces_cover_the_strings():
     for start, strings, anchor, key in rs.cut(text, 40, 8):
         for step in (16, 1):
             parts = list(rs.finer(text, key, start, strings, anchor, step, 40))
-            starts = [s for _, a, n in parts for s in range(a, a + n)]
+            starts = [s for _, a, n, _, _ in parts for s in range(a, a + n)]
             assert starts == list(range(start, start + strings))
 
 
