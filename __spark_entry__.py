@@ -16,7 +16,6 @@ from galepost import samples  # noqa: E402
 from galepost.operators import hubs as hub_ops  # noqa: E402
 from galepost.operators.checks import out_of_tolerance  # noqa: E402
 from galepost.operators.interval import interval_agg_join  # noqa: E402
-from galepost.operators.skew import heavy_keys  # noqa: E402
 from galepost.plans import analysis, marts, quality, staging, transform  # noqa: E402
 from galepost.session import stage, tune  # noqa: E402
 from galepost.sources import csv_files, tables, weather_json  # noqa: E402
@@ -34,6 +33,7 @@ except ModuleNotFoundError as missing:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 RESUME_DAYS = (date(1998, 1, 5), date(1998, 1, 6))
+LOADED_BEFORE = date(1995, 1, 1)
 
 
 class Staged(dict):
@@ -66,9 +66,6 @@ class Models:
             self._built[name] = stage(build(), name)
         return self._built[name]
 
-    def heavy_people(self) -> DataFrame | None:
-        return heavy_keys(self.stg["customers"], marts.PERSON)
-
     def centroid_plan(self, exact: bool = True) -> DataFrame:
         return transform.zip_centroid(self.stg["geolocation"], exact)
 
@@ -104,27 +101,24 @@ class Models:
         return self._once("fact", self.fact_plan)
 
     def dim_plan(self) -> DataFrame:
-        return marts.dim_customer_geography(
-            self.stg["orders"], self.stg["customers"], self.heavy_people()
-        )
+        return marts.dim_customer_geography(self.stg["orders"], self.stg["customers"])
 
     def dim(self) -> DataFrame:
         return self._once("dim", self.dim_plan)
 
     def events(self) -> DataFrame:
-        return marts.address_events(
-            self.stg["orders"], self.stg["customers"], self.heavy_people()
-        )
+        return marts.address_events(self.stg["orders"], self.stg["customers"])
 
-    def checked(self) -> dict[str, DataFrame]:
-        """Every model the checks look at."""
+    def checked(self, name: str) -> DataFrame:
+        """A model that checks look at, built when first asked for."""
+        if name.startswith("stg_"):
+            return self.stg[name.removeprefix("stg_")]
         return {
-            **{f"stg_{name}": self.stg[name] for name in staging.MODELS},
-            "zip_centroid": self.centroid(),
-            "weather_station_bridge": self.bridge(),
-            "dim_customer_geography": self.dim(),
-            "fact_delivery_weather": self.fact(),
-        }
+            "zip_centroid": self.centroid,
+            "weather_station_bridge": self.bridge,
+            "dim_customer_geography": self.dim,
+            "fact_delivery_weather": self.fact,
+        }[name]()
 
 
 def _staging(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -212,6 +206,17 @@ def pending_hub_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pending_hub_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.pending_hubs(*_supplier_hubs(spark, sf_dir), *RESUME_DAYS, "hub_day")
+
+
+def weather_resume_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a second load of all responses, twice each, adds to an earlier load cut short."""
+    rows = weather_payload_rows(spark, sf_dir)
+    stored = rows.filter(F.col("logistics_date") < F.lit(LOADED_BEFORE))
+    return tables.new_weather(rows.unionByName(rows), stored)
+
+
 def zip_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Models(spark, sf_dir).centroid_plan().drop("centroid_point")
 
@@ -268,10 +273,10 @@ def _interval_join(strategy: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def customer_address_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = {
-        "customer_unique_id": "previous_customer_unique_id",
-        "customer_zip_code_prefix": "previous_zip_code_prefix",
-        "customer_city": "previous_city",
-        "customer_state": "previous_state",
+        "customer_unique_id": "person_before",
+        "customer_zip_code_prefix": "zip_before",
+        "customer_city": "city_before",
+        "customer_state": "state_before",
     }
     return Models(spark, sf_dir).events().select(
         "order_id",
@@ -289,9 +294,7 @@ def address_version_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scd2_version_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = Models(spark, sf_dir)
-    return marts.version_counts(
-        models.stg["orders"], models.stg["customers"], models.heavy_people()
-    )
+    return marts.version_counts(models.stg["orders"], models.stg["customers"])
 
 
 def _model(build: Callable[[Models], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -299,13 +302,12 @@ def _model(build: Callable[[Models], DataFrame]) -> Callable[[SparkSession, str]
 
 
 def _report(*kinds: str) -> Callable[[Models], DataFrame]:
-    return lambda models: quality.quality_report(models.checked(), kinds)
+    return lambda models: quality.quality_report(models.checked, kinds)
 
 
 def dq_unique(models: Models) -> DataFrame:
-    tables_by_column = models.checked()
-    del tables_by_column["dim_customer_geography"]
-    return quality.quality_report(tables_by_column, ("unique",))
+    others = tuple(name for name in quality.UNIQUE if name != "dim_customer_geography")
+    return quality.quality_report(models.checked, ("unique",), others)
 
 
 def dq_unique_expr(models: Models) -> DataFrame:
@@ -334,6 +336,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "loaded_hubs": loaded_hubs,
         "pending_hubs": pending_hubs,
         "pending_hub_batches": pending_hub_batches,
+        "pending_hub_days": pending_hub_days,
+        "weather_resume_rows": weather_resume_rows,
         **{f"stg_{name}": _staging(name) for name in staging.MODELS},
         "zip_ping_count": _model(lambda m: transform.zip_ping_count(m.stg["geolocation"])),
         "zip_state_mode": _model(lambda m: transform.zip_state_mode(m.stg["geolocation"])),
@@ -363,7 +367,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda m: analysis.late_rate_by_severe(m.fact_plan(), "origin")
         ),
         "headline_metrics": _model(lambda m: analysis.headline_metrics(m.fact_plan())),
-        "monthly_late_rate": _model(lambda m: analysis.monthly_late_rate(m.stg["orders"])),
+        "monthly_late_rate": _model(lambda m: analysis.monthly_late_rate(m.fact())),
         "distance_histogram": _model(lambda m: analysis.distance_histogram(m.bridge())),
         "pct_within_tolerance": _model(lambda m: analysis.pct_within_tolerance(m.bridge_plan())),
         "dq_not_null": _model(_report("not_null")),

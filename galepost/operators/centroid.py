@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from galepost.session import stage
 
-# A group up to this size is summarised inside one aggregation buffer.
-BUFFERED_ROWS = 500_000
-
 
 def group_mode(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Most frequent non-NULL value per group; ties go to the smallest value.
@@ -27,47 +24,49 @@ def group_mode(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
+# Sides of the cells that values are counted in, one round after the other.
+CELLS = (2.0**-10, 2.0**-26)
+
+
 def group_median(
-    df: DataFrame, key: str, values: list[str], buffered_rows: int = BUFFERED_ROWS
+    df: DataFrame, key: str, values: list[str], cells: tuple[float, ...] = CELLS
 ) -> DataFrame:
     """Row count and exact interpolated median of each value column per key.
 
-    The built-in aggregate holds all values of a group in one buffer. The group sizes are
-    counted first; groups above ``buffered_rows`` are narrowed down by histograms
-    instead, so no task ever holds a whole one.
+    The built-in aggregate holds all values of a group in one buffer; here no task ever
+    holds a group, whatever its size. All columns are narrowed down together.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
-    large = sizes.filter(F.col("row_count") > buffered_rows)
-    medians = [
-        F.count(F.lit(1)).alias("row_count"),
-        *(F.median(value).alias(value) for value in values),
-    ]
-    if large.isEmpty():
-        return df.groupBy(key).agg(*medians)
-    large = stage(large, "large-groups")
-    same_key = F.col(key).eqNullSafe(F.col("_large"))
-    large_keys = large.select(F.col(key).alias("_large"))
-    small_groups = df.join(large_keys, same_key, "left_anti").groupBy(key).agg(*medians)
-    crowded = df.join(large_keys, same_key, "left_semi")
-    for value in values:
-        narrowed = large_median(crowded, key, value).withColumnRenamed(key, "_key")
-        large = large.join(narrowed, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
-    return small_groups.unionByName(large)
-
-
-def large_median(
-    df: DataFrame, key: str, value: str, cells: tuple[float, ...] = (2.0**-10, 2.0**-26)
-) -> DataFrame:
-    """Exact median per key by narrowing.
+    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
+    measures = F.array(
+        *(
+            F.struct(F.lit(position).alias("measure"), F.col(value).cast("double").alias("v"))
+            for position, value in enumerate(values)
+        )
+    )
+    present = stage(
+        df.select(F.col(key).alias("_key"), F.explode(measures).alias("m"))
+        .filter("m.v is not null")
+        .select(F.struct("_key", "m.measure").alias("_k"), F.col("m.v").alias("_v")),
+        "median-values",
+    )
+    middle = _middle(present, cells)
+    wide = middle.groupBy(F.col("_k._key").alias("_key")).agg(
+        *(
+            F.max(F.when(F.col("_k.measure") == position, F.col("median"))).alias(value)
+            for position, value in enumerate(values)
+        )
+    )
+    return rows.join(wide, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+
+
+def _middle(present: DataFrame, cells: tuple[float, ...]) -> DataFrame:
+    """Exact median of ``_v`` per ``_k`` by narrowing.
 
     Values are counted by cell, the cells holding the two middle ranks are kept, and
     the next round looks only inside those with finer cells. The last round ranks the
     distinct values left over. Each step aggregates by (key, cell), which spreads a
     single hot key over many tasks.
     """
-    present = df.filter(F.col(value).isNotNull()).select(
-        F.col(key).alias("_k"), F.col(value).alias("_v")
-    )
     totals = present.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
     # One row per middle rank; both are the same for an odd count.
     wanted = totals.select(
@@ -94,8 +93,8 @@ def large_median(
             "left_semi",
         )
     exact = _locate(inside, wanted, F.col("_v"))
-    return exact.groupBy(F.col("_k").alias(key)).agg(
-        (F.min_by("_cell", "side") * 0.5 + F.max_by("_cell", "side") * 0.5).alias(value)
+    return exact.groupBy("_k").agg(
+        (F.min_by("_cell", "side") * 0.5 + F.max_by("_cell", "side") * 0.5).alias("median")
     )
 
 

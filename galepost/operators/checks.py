@@ -36,11 +36,6 @@ def broken(kind: str, value: Column) -> Column:
     raise ValueError(f"{kind!r} is no row-wise check")
 
 
-def offending_rows(df: DataFrame, kind: str, target: str) -> DataFrame:
-    """The rows a row-wise check objects to."""
-    return df.filter(broken(kind, F.expr(target)))
-
-
 def duplicates(df: DataFrame, target: str) -> DataFrame:
     """Values that occur more than once; NULLs are no duplicates."""
     return (

@@ -1,10 +1,9 @@
 """Type-2 history from an event log: what changed, in which version, valid when.
 
-Everything needs the events of one key in order. For ordinary keys that is one window
-per key. A key may also own a large share of all events; such heavy keys are cut into
-calendar days ("lanes"), each lane is worked on as a group of its own, and a summary
-with one row per heavy key and lane carries the last state, the versions so far and the
-next version start across lane borders.
+Everything needs the events of one key in order. The events are written once in parts that
+follow each other by key and time, about equally large whichever keys they have. Each part
+is worked on by itself; a row for each key and part that the key shares with another carries
+the last state, the versions so far and the next version's start across the borders.
 """
 
 from __future__ import annotations
@@ -13,10 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_WHOLE = "0001-01-01"
-_LAST = "9999-12-31"
+from galepost.operators.rank import in_parts
 
 
 def _changed(now: Column, before: Column, attrs: list[str]) -> Column:
@@ -27,97 +24,72 @@ def _changed(now: Column, before: Column, attrs: list[str]) -> Column:
 
 
 def versioned_events(
-    events: DataFrame,
-    key: str,
-    attrs: list[str],
-    ts: str,
-    tie: str,
-    heavy: DataFrame | None = None,
+    events: DataFrame, key: str, attrs: list[str], ts: str, tie: str
 ) -> DataFrame:
     """Events with the state before them, whether they start a version, and its number.
 
     Adds ``previous`` (struct of key and attrs, NULL for a key's first event), ``is_start``
     and ``version_number``. The order is (ts, tie) ascending with NULLs last. Events
-    without a key each start a version. ``heavy`` is a bounded table of keys to cut into
-    lanes.
+    without a key each start a version.
     """
-    return _versioned(events, key, attrs, ts, tie, heavy).drop("_lane", "_next_lanes_start")
+    return _versioned(events, key, attrs, ts, tie).drop("_part", "_next_parts_start")
 
 
 def _in_order(key: str, ts: str, tie: str):
-    return Window.partitionBy(key, "_lane").orderBy(F.asc_nulls_last(ts), F.asc_nulls_last(tie))
+    return Window.partitionBy(key, "_part").orderBy(F.asc_nulls_last(ts), F.asc_nulls_last(tie))
 
 
-def _versioned(
-    events: DataFrame, key: str, attrs: list[str], ts: str, tie: str, heavy: DataFrame | None
-) -> DataFrame:
-    state = F.struct(key, *attrs)
-    if heavy is None:
-        laned = events.withColumn("_lane", F.lit(_WHOLE).cast("date"))
-    else:
-        marked = F.broadcast(heavy.select(F.col(key).alias("_hot"), F.lit(True).alias("_is_hot")))
-        laned = (
-            events.join(marked, F.col(key).eqNullSafe(F.col("_hot")), "left")
-            .withColumn(
-                "_lane",
-                F.when(
-                    F.col("_is_hot"), F.coalesce(F.to_date(ts), F.lit(_LAST).cast("date"))
-                ).otherwise(F.lit(_WHOLE).cast("date")),
-            )
-            .drop("_hot", "_is_hot")
-        )
+def _versioned(events: DataFrame, key: str, attrs: list[str], ts: str, tie: str) -> DataFrame:
+    order = [F.asc_nulls_last(key), F.asc_nulls_last(ts), F.asc_nulls_last(tie)]
     in_order = _in_order(key, ts, tie)
-    up_to_here = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    rows = laned.withColumns(
-        {"_state": state, "_in_lane": F.row_number().over(in_order)}
-    ).withColumn("previous", F.lag("_state").over(in_order))
-    if heavy is None:
-        start_type = T.StructType([T.StructField("at", events.schema[ts].dataType)])
-        border = rows.withColumns(
-            {
-                "_versions_before": F.lit(0).cast("long"),
-                "_next_lanes_start": F.lit(None).cast(start_type),
-            }
+    rows = (
+        in_parts(events, order, "history-events")
+        .withColumns(
+            {"_state": F.struct(key, *attrs), "_in_part": F.row_number().over(in_order)}
         )
-    else:
-        border = _join_borders(rows, key, attrs, ts)
-    first_of_key = F.col(f"previous.{key}").isNull()
-    is_start = first_of_key | _changed(F.col("_state"), F.col("previous"), attrs)
-    numbered = border.withColumn("is_start", is_start).withColumn(
+        .withColumn("previous", F.lag("_state").over(in_order))
+    )
+    linked = _join_borders(rows, key, attrs, ts)
+    is_start = F.col(f"previous.{key}").isNull() | _changed(
+        F.col("_state"), F.col("previous"), attrs
+    )
+    up_to_here = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = linked.withColumn("is_start", is_start).withColumn(
         "version_number",
         F.sum(F.col("is_start").cast("long")).over(up_to_here) + F.col("_versions_before"),
     )
-    return numbered.drop("_state", "_in_lane", "_versions_before")
+    return numbered.drop("_state", "_in_part", "_versions_before")
 
 
 def _join_borders(rows: DataFrame, key: str, attrs: list[str], ts: str) -> DataFrame:
-    """Complete the first event of each lane of a heavy key from the lanes before it."""
-    inner_change = (F.col("_in_lane") > 1) & (
+    """Complete the first event of each part of a key from the parts before it."""
+    inner_change = (F.col("_in_part") > 1) & (
         F.col(f"previous.{key}").isNull() | _changed(F.col("_state"), F.col("previous"), attrs)
     )
     at = F.struct(F.col(ts).alias("at"))
-    lanes = (
-        rows.filter(F.col("_lane") > F.lit(_WHOLE).cast("date"))
-        .groupBy(key, "_lane")
-        .agg(
-            F.min_by("_state", "_in_lane").alias("first_state"),
-            F.max_by("_state", "_in_lane").alias("last_state"),
-            F.min_by(at, "_in_lane").alias("first_at"),
-            F.count_if(inner_change).alias("inner_starts"),
-            F.min_by(F.when(inner_change, at), F.when(inner_change, F.col("_in_lane"))).alias(
-                "inner_at"
-            ),
-        )
+    parts = rows.groupBy(key, "_part").agg(
+        F.min_by("_state", "_in_part").alias("first_state"),
+        F.max_by("_state", "_in_part").alias("last_state"),
+        F.min_by(at, "_in_part").alias("first_at"),
+        F.count_if(inner_change).alias("inner_starts"),
+        F.min_by(F.when(inner_change, at), F.when(inner_change, F.col("_in_part"))).alias(
+            "inner_at"
+        ),
     )
-    by_lane = Window.partitionBy(key).orderBy("_lane")
+    by_part = Window.partitionBy(key).orderBy("_part")
     # Frames grow from the front: one that shrinks towards the end is evaluated anew per row.
-    before = by_lane.rowsBetween(Window.unboundedPreceding, -1)
+    before = by_part.rowsBetween(Window.unboundedPreceding, -1)
     after = (
         Window.partitionBy(key)
-        .orderBy(F.desc("_lane"))
+        .orderBy(F.desc("_part"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    linked = lanes.withColumn("last_before", F.lag("last_state").over(by_lane)).withColumn(
+    shared = (
+        parts.withColumn("_spans", F.count(F.lit(1)).over(Window.partitionBy(key)))
+        .filter("_spans > 1")
+        .withColumn("last_before", F.lag("last_state").over(by_part))
+    )
+    linked = shared.withColumn(
         "opens",
         F.col(f"last_before.{key}").isNull()
         | _changed(F.col("first_state"), F.col("last_before"), attrs),
@@ -126,45 +98,41 @@ def _join_borders(rows: DataFrame, key: str, attrs: list[str], ts: str) -> DataF
         "start_at", F.when(F.col("opens"), F.col("first_at")).otherwise(F.col("inner_at"))
     ).select(
         F.col(key).alias("_b_key"),
-        F.col("_lane").alias("_b_lane"),
+        F.col("_part").alias("_b_part"),
         "last_before",
         F.coalesce(
             F.sum(F.col("inner_starts") + F.col("opens").cast("long")).over(before), F.lit(0)
         ).alias("_b_versions"),
-        F.last("start_at", ignorenulls=True).over(after).alias("_next_lanes_start"),
+        F.last("start_at", ignorenulls=True).over(after).alias("_next_parts_start"),
     )
+    # A part shares its first and its last key at most, so there are two rows a part.
     return (
         rows.join(
-            borders,
-            F.col(key).eqNullSafe(F.col("_b_key")) & (F.col("_lane") == F.col("_b_lane")),
+            F.broadcast(borders),
+            F.col(key).eqNullSafe(F.col("_b_key")) & (F.col("_part") == F.col("_b_part")),
             "left",
         )
         .withColumn(
             "previous",
-            F.when(F.col("_in_lane") == 1, F.col("last_before")).otherwise(F.col("previous")),
+            F.when(F.col("_in_part") == 1, F.col("last_before")).otherwise(F.col("previous")),
         )
         .withColumn("_versions_before", F.coalesce(F.col("_b_versions"), F.lit(0)))
-        .drop("_b_key", "_b_lane", "last_before", "_b_versions")
+        .drop("_b_key", "_b_part", "last_before", "_b_versions")
     )
 
 
 def scd2_from_events(
-    events: DataFrame,
-    key: str,
-    attrs: list[str],
-    ts: str,
-    tie: str,
-    heavy: DataFrame | None = None,
+    events: DataFrame, key: str, attrs: list[str], ts: str, tie: str
 ) -> DataFrame:
     """One row per version: key, attrs, valid_from, valid_to, is_current, version_number.
 
     Validity is half open. Going back to an earlier state opens a new version.
     """
-    starts = _versioned(events, key, attrs, ts, tie, heavy).filter("is_start")
+    starts = _versioned(events, key, attrs, ts, tie).filter("is_start")
     # Wrapped, so that a next version without a timestamp still counts as one.
     next_start = F.lead(F.struct(F.col(ts).alias("at"))).over(_in_order(key, ts, tie))
     return starts.withColumn(
-        "valid_to", F.coalesce(next_start, F.col("_next_lanes_start"))["at"]
+        "valid_to", F.coalesce(next_start, F.col("_next_parts_start"))["at"]
     ).select(
         key,
         *attrs,

@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from galepost.functions.geo import box_distance_floor_km, distance_km
+from galepost.functions.geo import (
+    box_distance_floor_km,
+    box_floor_sql,
+    distance_km,
+    distance_sql,
+)
 from galepost.session import stage
 
 # Sides of the nested search cells in degrees, each an eighth of the one before. The
-# coarsest grid bounds the number of cells every position starts from.
-CELL_DEGREES = (8.0, 1.0, 0.125, 0.015625)
+# coarsest grid bounds the number of cells every position starts from. How many of the grids
+# are used depends on the targets: cells are split until none of the last grid holds more
+# than LEAF_POINTS of them.
+CELL_DEGREES = tuple(8.0**power for power in range(1, -7, -1))
+LEAF_POINTS = 32
 # Slack for floating point and for ranking on distances rounded to the millimetre.
 SLACK_KM = 0.001
 BOX = ("south", "north", "west", "east", "south_lng")
@@ -19,7 +27,7 @@ BOX = ("south", "north", "west", "east", "south_lng")
 def _cell(degrees: float) -> str:
     """Number of a target's grid cell; longitudes lie in [-180, 180)."""
     row, column = (f"floor((t_lat + 90) / {degrees}D)", f"floor((t_lng + 180) / {degrees}D)")
-    return f"{row} * 100000000L + {column}"
+    return f"{row} * 4294967296L + {column}"
 
 
 def _wrapped(lng: Column) -> Column:
@@ -42,10 +50,18 @@ def _search_tree(targets: DataFrame, degrees: tuple[float, ...]) -> DataFrame:
             F.min("t_lng").alias("west"),
             F.max("t_lng").alias("east"),
             F.expr("min_by(t_lng, struct(t_lat, t_lng))").alias("south_lng"),
+            F.count(F.lit(1)).alias("points"),
         )
     )
 
 
+def _grids(tree: DataFrame, degrees: tuple[float, ...], leaf_points: int) -> int:
+    """How many grids it takes until no cell holds more than ``leaf_points``, or all."""
+    fullest = tree.groupBy("level").agg(F.max("points").alias("points")).collect()
+    enough = [row["level"] for row in fullest if row["points"] <= leaf_points]
+    return min(enough, default=len(degrees) - 1) + 1
+
+
 def nearest_join(
     left: DataFrame,
     right: DataFrame,
@@ -55,17 +71,19 @@ def nearest_join(
     id_name: str,
     distance_name: str,
     cell_degrees: tuple[float, ...] = CELL_DEGREES,
+    leaf_points: int = LEAF_POINTS,
 ) -> DataFrame:
     """Add to each left row the id of its closest right point and the distance in km.
 
-    Points are structs (lng, lat). Ties go to the smaller id. A left row without a point
-    gets the smallest id and a NULL distance; without right rows nothing comes out.
+    Points are structs (lng, lat). Ties go to the smaller id, a NULL id last. A left row
+    without a point gets the smallest id and a NULL distance; without right rows nothing
+    comes out.
 
     The search runs once per distinct left position and descends through nested cells.
     At each level the surviving cells are split into their occupied children. A child's
     box gives the least distance it can offer, one of its points a distance that is
     certainly reached, and children that cannot beat the best reached one are dropped.
-    What survives per position is a handful of cells, however large the two sides are.
+    The coarsest level is pruned inside the row, before anything is exploded.
 
     The distinct right points and their cells are written once, since every level reads
     them while ``right`` may be a long daily history.
@@ -101,22 +119,33 @@ def nearest_join(
             "p_lat", "p_lng", F.col("child").alias("parent")
         )
 
-    # The occupied coarse cells: at most 24 x 45 with the default grid.
+    # The occupied coarse cells: at most 24 x 45 with the default grids.
     coarse = tree.filter("level = 0").agg(F.collect_list(F.struct("child", *BOX))).scalar()
-    cells = survivors(
-        positions.select("p_lat", "p_lng", F.explode(coarse).alias("node")).select(
-            "p_lat", "p_lng", "node.*"
+    box = [f"n.{side}" for side in BOX]
+    scored = f"""transform(coarse, n -> struct(
+        n.child as child,
+        {box_floor_sql("p_lat", "p_lng", *box[:4])} as floor_km,
+        {distance_sql("p_lat", "p_lng", "n.south", "n.south_lng")} as reached_km))"""
+    cells = (
+        positions.withColumn("coarse", coarse)
+        .withColumn("coarse", F.expr(scored))
+        .withColumn("best_km", F.expr("array_min(transform(coarse, n -> n.reached_km))"))
+        .withColumn(
+            "coarse", F.expr(f"filter(coarse, n -> n.floor_km <= best_km + {SLACK_KM}D)")
         )
+        .select("p_lat", "p_lng", F.explode("coarse.child").alias("parent"))
     )
-    for level in range(1, len(cell_degrees)):
+    grids = _grids(tree, cell_degrees, leaf_points)
+    for level in range(1, grids):
         children = tree.filter(f"level = {level}").select("parent", "child", *BOX)
         cells = survivors(cells.join(children, "parent"))
-    leaves = members.withColumn("parent", F.expr(_cell(cell_degrees[-1])))
+    leaves = members.withColumn("parent", F.expr(_cell(cell_degrees[grids - 1])))
     km = distance_km("p_lat", "p_lng", "t_lat", "t_lng")
+    nearest = F.struct(km.alias("km"), F.isnull("t_id").alias("no_id"), "t_id")
     closest = (
         cells.join(leaves, "parent")
         .groupBy("p_lat", "p_lng")
-        .agg(F.min(F.struct(km.alias("km"), "t_id")).alias("closest"))
+        .agg(F.min(nearest).alias("closest"))
     )
     smallest_id = targets.select(F.min("t_id")).scalar()
     return (
@@ -125,8 +154,10 @@ def nearest_join(
             F.expr(f"{left_point}.lat = p_lat and {left_point}.lng = p_lng"),
             "left",
         )
-        .withColumn(id_name, F.coalesce(F.col("closest.t_id"), smallest_id))
+        .withColumn(
+            id_name, F.when(F.col("closest").isNull(), smallest_id).otherwise(F.col("closest.t_id"))
+        )
         .withColumn(distance_name, F.col("closest.km"))
-        .filter(F.col(id_name).isNotNull())
+        .filter(targets.select(F.count(F.lit(1)) > 0).scalar())
         .drop("p_lat", "p_lng", "closest")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from galepost.session import stage
+
 
 def ordering_key(*columns: Column) -> Column:
     """Struct that compares like ``ORDER BY columns`` ascending with NULLs last."""
@@ -26,27 +28,35 @@ def first_by(
     return df.groupBy(*keys).agg(winner.alias("winner")).select(*keys, "winner.*")
 
 
-def ordered_position(df: DataFrame, code: str, position: str, lead: int = 3) -> DataFrame:
+def in_parts(df: DataFrame, order: list[Column], label: str) -> DataFrame:
+    """``df`` written in parts that follow each other in ``order``; ``_part`` numbers them.
+
+    Parts are cut by a sample of the rows, so they are about equally large whichever keys
+    the rows have; a key with many rows spans several parts. Rows that agree in all of
+    ``order`` share a part.
+    """
+    dealt = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    return stage(dealt, label)
+
+
+def ordered_position(df: DataFrame, code: str, position: str) -> DataFrame:
     """Number the rows from zero in order of a text code, without one task seeing them all.
 
-    Codes that share their first ``lead`` characters lie next to each other in text
-    order. Rows are numbered inside each such block, and the few block sizes are
+    Rows are numbered inside each part of the order; the part sizes, one row each, are
     summed up to offsets.
     """
-    blocks = df.withColumn("_block", F.substring(F.col(code), 1, lead))
-    before = (
-        Window.orderBy(F.asc_nulls_last("_block"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    order = F.asc_nulls_last(code)
+    rows = in_parts(df, [order], "ordered-position")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        blocks.groupBy("_block")
+        rows.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_size"))
-        .select("_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+        .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = Window.partitionBy("_block").orderBy(F.asc_nulls_last(code))
+    inside = Window.partitionBy("_part").orderBy(order)
     return (
-        blocks.withColumn("_inside", F.row_number().over(inside) - F.lit(1))
-        .join(offsets.withColumnRenamed("_block", "_of"), F.col("_block").eqNullSafe(F.col("_of")))
+        rows.withColumn("_inside", F.row_number().over(inside) - F.lit(1))
+        .join(offsets, "_part")
         .withColumn(position, (F.col("_offset") + F.col("_inside")).cast("long"))
-        .drop("_block", "_of", "_offset", "_inside")
+        .drop("_part", "_offset", "_inside")
     )

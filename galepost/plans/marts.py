@@ -141,9 +141,7 @@ def customer_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     ).drop("customer_id")
 
 
-def address_events(
-    orders: DataFrame, customers: DataFrame, heavy: DataFrame | None = None
-) -> DataFrame:
+def address_events(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Every order with the person's address before it and the address version."""
     return versioned_events(
         customer_orders(orders, customers),
@@ -151,13 +149,10 @@ def address_events(
         ADDRESS,
         "order_purchase_timestamp",
         "order_id",
-        heavy,
     )
 
 
-def dim_customer_geography(
-    orders: DataFrame, customers: DataFrame, heavy: DataFrame | None = None
-) -> DataFrame:
+def dim_customer_geography(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Address history of every person, one row per version."""
     return scd2_from_events(
         customer_orders(orders, customers),
@@ -165,14 +160,13 @@ def dim_customer_geography(
         ADDRESS,
         "order_purchase_timestamp",
         "order_id",
-        heavy,
     )
 
 
-def version_counts(orders: DataFrame, customers: DataFrame, heavy: DataFrame | None = None):
+def version_counts(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Number of address versions per person."""
     return (
-        address_events(orders, customers, heavy)
+        address_events(orders, customers)
         .groupBy(PERSON)
         .agg(F.count_if("is_start").alias("version_count"))
     )

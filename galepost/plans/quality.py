@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,11 +55,21 @@ CHECKS = [
 ]
 
 
-def quality_report(tables: dict[str, DataFrame], kinds: tuple[str, ...] = ()) -> DataFrame:
-    """Results of all checks on the given tables, or of the given kinds only."""
-    chosen = [c for c in CHECKS if c.table in tables and (not kinds or c.kind in kinds)]
-    wanted = {check.table for check in chosen}
-    return run_checks({name: df for name, df in tables.items() if name in wanted}, chosen)
+def quality_report(
+    tables: dict[str, DataFrame] | Callable[[str], DataFrame],
+    kinds: tuple[str, ...] = (),
+    only: tuple[str, ...] = (),
+) -> DataFrame:
+    """Results of all checks, or of those of the given kinds and on the given tables.
+
+    ``tables`` may be a function that gives a table by name; it is asked for those only that
+    a chosen check is on.
+    """
+    given = only or (tuple(NOT_NULL) if callable(tables) else tuple(tables))
+    chosen = [c for c in CHECKS if c.table in given and (not kinds or c.kind in kinds)]
+    find = tables if callable(tables) else tables.__getitem__
+    wanted = dict.fromkeys(check.table for check in chosen)
+    return run_checks({name: find(name) for name in wanted}, chosen)
 
 
 def fact_row_count(fact: DataFrame, orders: DataFrame) -> DataFrame:

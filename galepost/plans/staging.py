@@ -134,8 +134,3 @@ MODELS = {
     "geolocation": stg_geolocation,
     "weather": stg_weather,
 }
-
-
-def staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All six staging models over the raw tables."""
-    return {name: model(raw[name]) for name, model in MODELS.items()}

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from galepost.functions.geo import make_point
 from galepost.operators.centroid import (
-    BUFFERED_ROWS,
     group_median,
     group_median_sketch,
     group_mode,
@@ -38,14 +37,12 @@ def zip_state_mode(geolocation: DataFrame) -> DataFrame:
     return group_mode(_pings(geolocation), ["zip_code_prefix"], "state")
 
 
-def zip_centroid(
-    geolocation: DataFrame, exact: bool = True, buffered_rows: int = BUFFERED_ROWS
-) -> DataFrame:
+def zip_centroid(geolocation: DataFrame, exact: bool = True) -> DataFrame:
     """Median position, ping count and most frequent state of every prefix with pings."""
     pings = _pings(geolocation)
     axes = ["centroid_lat", "centroid_lng"]
     centres = (
-        group_median(pings, "zip_code_prefix", axes, buffered_rows)
+        group_median(pings, "zip_code_prefix", axes)
         if exact
         else group_median_sketch(pings, "zip_code_prefix", axes)
     )

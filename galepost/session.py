@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,23 +46,44 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
     return tune(spark)
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+_OWN_FOLDERS: dict[str, str] = {}
+_SCOPES: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can read, as the session names it.
 
-    Only a local session without the setting (a test) gets a folder of its own.
+    Where a local session names none, it gets a folder of its own that goes with the process;
+    there the driver is the only executor. Any other session must name one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="galepost-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    if context.applicationId not in _OWN_FOLDERS:
+        own = tempfile.mkdtemp(prefix="galepost-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _OWN_FOLDERS[context.applicationId] = own
+    return _OWN_FOLDERS[context.applicationId]
+
+
+def _stages(spark: SparkSession) -> str:
+    return "/".join([shared_folder(spark), "galepost", spark.sparkContext.applicationId, *_SCOPES])
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Copies that ``stage`` writes inside are deleted at the end, when their readers are done."""
+    _SCOPES.append(uuid.uuid4().hex)
+    folder = _stages(spark)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -69,6 +94,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     instead of the whole lineage.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/galepost/{label}-{uuid.uuid4().hex}"
+    path = f"{_stages(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

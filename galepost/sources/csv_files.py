@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from urllib.parse import unquote
+import csv
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galepost.functions.text import clean_text, normalize_name, parse_number
+from galepost.functions.text import clean_text, column_name, parse_number
+from galepost.session import stage
 from galepost.sources.registry import Dataset
 
 
@@ -16,72 +17,93 @@ class MissingColumnsError(ValueError):
     """A file lacks a header row or columns its dataset needs."""
 
 
-def quoted_newline_files(spark: SparkSession, paths: str | list[str]) -> dict[str, bool]:
-    """Every file, and whether a quoted field in it may run over several lines.
+class QuotedNewlineError(ValueError):
+    """A file has a field that runs over several lines, and those are not to be read."""
+
+
+def _landed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Every file with its header line, and whether a quoted field may run over lines.
 
     The first line of such a field has an odd number of quotes, so a file whose lines all
     have an even number is safe to cut at any line.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
-    files = lines.groupBy("file").agg(F.max(quotes % 2 == 1).alias("odd")).collect()
-    return {unquote(f["file"]): f["odd"] for f in files}
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        (F.col("_metadata.file_block_start") == 0).alias("leads"),
+        # Grows along a file's first block.
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+    filled = F.col("leads") & (F.trim("value") != "")
+    return lines.groupBy("file").agg(
+        F.min_by(F.when(filled, F.col("value")), F.when(filled, F.col("place"))).alias("header"),
+        F.max(quotes % 2 == 1).alias("odd"),
+    )
 
 
-def read_landed_csv(
-    spark: SparkSession, paths: str | list[str], quoted_newlines: bool | None = None
-) -> DataFrame:
-    """All columns as text under normalised names; for equal names the last column wins.
+def landed_groups(
+    spark: SparkSession, paths: str | list[str], quoted_newlines: str = "whole"
+) -> list[DataFrame]:
+    """The files by header line, each group as text columns under its own normalised names.
 
-    A field that holds line breaks forces Spark to read its file front to back in one
-    task. By default (None) one pass over the lines finds the files that need it, and
-    all others are split among the tasks. True or False skips that pass and treats all
-    files alike.
+    For equal names the last column wins. A field that holds line breaks forces Spark to read
+    its file front to back in one task. ``quoted_newlines="whole"`` does so with the files
+    that need it and splits all others, so a file of that kind should be no larger than a
+    task may read; ``"refuse"`` raises instead. What reaches the driver is the different
+    header lines, not the files.
     """
-    if quoted_newlines is not None:
-        return _read_csv(spark, paths, quoted_newlines)
-    needs_whole = quoted_newline_files(spark, paths)
-    if len(set(needs_whole.values())) < 2:
-        return _read_csv(spark, paths, any(needs_whole.values()))
-    split, whole = (
-        _read_csv(spark, sorted(f for f, odd in needs_whole.items() if odd == kind), kind)
-        for kind in (False, True)
+    if quoted_newlines not in ("whole", "refuse"):
+        raise ValueError(f"unknown way with quoted newlines {quoted_newlines!r}")
+    files = stage(_landed_files(spark, paths), "landed-files")
+    groups = sorted(
+        (row["odd"], row["header"] or "") for row in files.select("odd", "header").distinct().collect()
     )
-    return split.unionByName(whole, allowMissingColumns=True)
+    # An empty file has no line; only Spark's own listing, which it holds anyway, knows it.
+    listed = len(spark.read.text(paths).inputFiles())
+    if not all(header for _, header in groups) or files.count() < listed:
+        raise MissingColumnsError(f"no header row in {paths}")
+    if quoted_newlines == "refuse" and any(odd for odd, _ in groups):
+        raise QuotedNewlineError(f"a quoted field runs over several lines in {paths}")
+    return [_read_group(spark, paths, files, len(groups), *group) for group in groups]
 
 
-def _read_csv(spark: SparkSession, paths: str | list[str], multiline: bool) -> DataFrame:
+def _read_group(
+    spark: SparkSession,
+    paths: str | list[str],
+    files: DataFrame,
+    groups: int,
+    odd: bool,
+    header: str,
+) -> DataFrame:
+    names = next(csv.reader([header.removeprefix("\ufeff")]))
     landed = (
-        spark.read.option("header", True)
-        .option("multiLine", multiline)
+        spark.read.schema(", ".join(f"c{position} string" for position in range(len(names))))
+        .option("header", True)
+        .option("multiLine", odd)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(paths)
     )
-    if not landed.columns:
-        raise MissingColumnsError(f"no header row in {paths}")
-    position_of = {
-        normalize_name(name): position
-        for position, name in enumerate(header_names(landed.columns))
-    }
-    by_position = landed.toDF(*(f"c{position}" for position in range(len(landed.columns))))
-    return by_position.select(
+    if groups > 1:
+        mine = files.filter((F.col("odd") == odd) & (F.col("header") == header)).select("file")
+        landed = landed.withColumn("file", F.col("_metadata.file_path"))
+        landed = landed.join(mine, "file", "left_semi")
+    position_of = {column_name(name): position for position, name in enumerate(names)}
+    return landed.select(
         *(F.col(f"c{position}").alias(name) for name, position in position_of.items())
     )
 
 
-def header_names(columns: list[str]) -> list[str]:
-    """The names as written in the file; the reader appends positions to repeated ones."""
-    bases = [
-        name[: -len(str(position))] if name.endswith(str(position)) else name
-        for position, name in enumerate(columns)
-    ]
-    times = Counter(base.lower() for base in bases)
-    return [
-        base if base != name and times[base.lower()] > 1 else name
-        for name, base in zip(columns, bases)
-    ]
+def read_landed_csv(
+    spark: SparkSession, paths: str | list[str], quoted_newlines: str = "whole"
+) -> DataFrame:
+    """All groups together; a column that a group lacks is NULL in its rows."""
+    return reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        landed_groups(spark, paths, quoted_newlines),
+    )
 
 
 def select_expected(landed: DataFrame, expected: list[str]) -> DataFrame:
@@ -121,10 +143,16 @@ def read_dataset(
     spark: SparkSession,
     dataset: Dataset,
     paths: str | list[str],
-    quoted_newlines: bool | None = None,
+    quoted_newlines: str = "whole",
 ) -> tuple[DataFrame, DataFrame]:
-    """Cleaned (valid, rejected) rows of one CSV dataset."""
-    landed = select_expected(read_landed_csv(spark, paths, quoted_newlines), dataset.columns)
+    """Cleaned (valid, rejected) rows of one CSV dataset; every file must have its columns."""
+    landed = reduce(
+        DataFrame.unionByName,
+        [
+            select_expected(group, dataset.columns)
+            for group in landed_groups(spark, paths, quoted_newlines)
+        ],
+    )
     return split_required(clean_columns(landed), dataset.required)
 
 

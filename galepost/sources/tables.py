@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from galepost.operators.rank import ordered_position
+from galepost.operators.rank import first_by, ordered_position
 from galepost.sources.registry import DATASETS
 
+# What is asked of the weather source: one row per batch, place in it and range of days.
+REQUESTS = (
+    "batch_id string, pos int, latitude double, longitude double, first_day date, last_day date"
+)
+# The state of each load of a raw table: started, then done.
+LOADS = "table_name string, attempt string, state string"
+
 
 def create_raw_tables(spark: SparkSession, database: str) -> None:
     """Create the database and its raw tables where they do not exist yet."""
@@ -21,23 +30,42 @@ def create_raw_tables(spark: SparkSession, database: str) -> None:
         )
 
 
-def append(df: DataFrame, table: str) -> int:
-    """Append by column name in one job; readers see all of it or nothing."""
+def append(df: DataFrame, table: str, overwrite: bool = False) -> int:
+    """Write by column name in one job; returns the rows written."""
     counted = Observation()
     target = df.sparkSession.table(table).columns
-    df.select(*target).observe(counted, F.count(F.lit(1)).alias("n")).write.insertInto(table)
+    rows = df.select(*target).observe(counted, F.count(F.lit(1)).alias("n"))
+    rows.write.insertInto(table, overwrite=overwrite)
     return counted.get["n"]
 
 
+def _record(spark: SparkSession, log: str, table: str, attempt: str, state: str) -> None:
+    row = spark.createDataFrame([(table, attempt, state)], LOADS)
+    row.write.insertInto(log)
+
+
 def load_once(df: DataFrame, table: str) -> int:
-    """Fill an empty table; a table with any row is left alone and 0 returned.
+    """Fill an empty table; a filled one is left alone and 0 returned.
 
-    The load is a single job, so a crash leaves the table empty and the next run
-    loads it whole.
+    A load is recorded when it starts and when it is complete. If one started and never
+    completed, what it left is replaced by the next; rows that no load accounts for were put
+    there by someone else and stay.
     """
-    if not df.sparkSession.table(table).isEmpty():
+    spark = df.sparkSession
+    database, _, name = table.rpartition(".")
+    log = f"{database}.load_log" if database else "load_log"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {log} ({LOADS}) USING parquet")
+    states = {
+        row["state"]
+        for row in spark.table(log).filter(F.col("table_name") == name).select("state").distinct().collect()
+    }
+    if "done" in states or not states and not spark.table(table).isEmpty():
         return 0
-    return append(df, table)
+    attempt = uuid.uuid4().hex
+    _record(spark, log, name, attempt, "started")
+    loaded = append(df, table, overwrite=True)
+    _record(spark, log, name, attempt, "done")
+    return loaded
 
 
 def save_view(df: DataFrame, name: str) -> DataFrame:
@@ -46,10 +74,90 @@ def save_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def save_table(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Transform and mart models are rebuilt in full."""
-    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
-    return df.sparkSession.table(table)
+def save_table(df: DataFrame, table: str) -> DataFrame:
+    """Rebuild a transform or mart model in full and publish it when it is complete.
+
+    Each build is a table of its own; readers go through a view that is moved to the new one
+    in one step. Only then the builds before it go.
+    """
+    spark = df.sparkSession
+    database, _, name = table.rpartition(".")
+    build = f"{name}__{uuid.uuid4().hex}"
+    prefix = f"{database}." if database else ""
+    df.write.saveAsTable(prefix + build)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {prefix}{build}")
+    within = f" IN {database}" if database else ""
+    for row in spark.sql(f"SHOW TABLES{within} LIKE '{name}__*'").collect():
+        if re.fullmatch(f"{name}__[0-9a-f]{{32}}", row["tableName"]) and row["tableName"] != build:
+            spark.sql(f"DROP TABLE IF EXISTS {prefix}{row['tableName']}")
+    return spark.table(table)
+
+
+def create_requests(spark: SparkSession, database: str) -> str:
+    """The table of weather requests, made where it does not exist yet."""
+    table = f"{database}.weather_requests"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({REQUESTS}) USING parquet")
+    return table
+
+
+def save_requests(
+    pending: DataFrame, start: date, end: date, database: str, batch_size: int
+) -> DataFrame:
+    """Number what is pending, store it under batch ids of this run, and return it as stored.
+
+    ``pending`` has zip_code_prefix, lat and lng, and logistics_date where single days are
+    missing; each unbroken range of missing days is a request of its own.
+    """
+    spark = pending.sparkSession
+    table = create_requests(spark, database)
+    if "logistics_date" in pending.columns:
+        order = Window.partitionBy("zip_code_prefix", "lat", "lng").orderBy("logistics_date")
+        ranged = (
+            pending.withColumn(
+                "run", F.date_sub("logistics_date", F.row_number().over(order))
+            )
+            .groupBy("zip_code_prefix", "lat", "lng", "run")
+            .agg(
+                F.min("logistics_date").alias("first_day"),
+                F.max("logistics_date").alias("last_day"),
+            )
+        )
+    else:
+        ranged = (
+            pending.select("zip_code_prefix", "lat", "lng")
+            .distinct()
+            .withColumns({"first_day": F.lit(start), "last_day": F.lit(end)})
+        )
+    run = uuid.uuid4().hex
+    coded = ranged.withColumn(
+        "code", F.concat_ws("/", "zip_code_prefix", F.col("first_day").cast("string"))
+    )
+    numbered = ordered_position(coded, "code", "place").select(
+        F.concat(
+            F.lit(f"{run}-"), F.floor(F.col("place") / F.lit(batch_size)).cast("string")
+        ).alias("batch_id"),
+        (F.col("place") % batch_size).cast("int").alias("pos"),
+        F.col("lat").alias("latitude"),
+        F.col("lng").alias("longitude"),
+        "first_day",
+        "last_day",
+    )
+    append(numbered, table)
+    return spark.table(table).filter(F.col("batch_id").startswith(f"{run}-"))
+
+
+def new_weather(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """One row per rounded location and day of ``rows``, without what is stored already."""
+    cells = {"lat_cell": _grid(F.col("latitude")), "lng_cell": _grid(F.col("longitude"))}
+    keys = [*cells, "logistics_date"]
+    columns = rows.columns
+    each = first_by(rows.withColumns(cells), keys, columns, columns_without(columns, keys))
+    known = stored.withColumns(cells).select(*keys)
+    return each.join(known, keys, "left_anti").select(*columns)
+
+
+def columns_without(columns: list[str], left_out: list[str]) -> list[str]:
+    return [column for column in columns if column not in left_out]
 
 
 def _grid(value: Column) -> Column:

@@ -46,12 +46,16 @@ def payload_days(responses: DataFrame, requests: DataFrame) -> DataFrame:
     """One row per location and day with a reject reason where the day is unusable.
 
     ``responses``: batch_id, payload. ``requests``: batch_id, pos, latitude, longitude,
-    one row per requested location; the requested coordinates are the ones kept.
+    one row per requested location; the requested coordinates are the ones kept. Days of
+    a location that no request names are unusable, and where requests have a ``first_day`` and
+    ``last_day`` so are days outside. A response
+    that is no readable JSON of the expected form is one row with the reason ``bad_payload``.
     """
-    locations = responses.select(
-        "batch_id", F.posexplode(F.from_json("payload", PAYLOAD_TYPE)).alias("pos", "location")
+    parsed = responses.select("batch_id", F.from_json("payload", PAYLOAD_TYPE).alias("answer"))
+    locations = parsed.select(
+        "batch_id", F.posexplode("answer").alias("pos", "location")
     ).select("batch_id", "pos", "location.daily")
-    located = locations.join(requests, ["batch_id", "pos"])
+    located = locations.join(requests, ["batch_id", "pos"], "left")
     # Arrays shorter than ``time`` are padded with NULL; whatever lies beyond it is no day.
     days = located.withColumn(
         "day",
@@ -79,7 +83,10 @@ def payload_days(responses: DataFrame, requests: DataFrame) -> DataFrame:
         unreadable = unreadable | (text.isNotNull() & number.isNull())
         absent = absent | text.isNull()
     logistics_date = parse_iso_date(F.col("day.time"))
-    return days.select(
+    asked = F.col("latitude").isNotNull()
+    if "first_day" in requests.columns:
+        asked = asked & logistics_date.between(F.col("first_day"), F.col("last_day"))
+    readable = days.select(
         hub_identifier(F.col("latitude"), F.col("longitude")).alias("hub_identifier"),
         "latitude",
         "longitude",
@@ -88,8 +95,13 @@ def payload_days(responses: DataFrame, requests: DataFrame) -> DataFrame:
         F.when(logistics_date.isNull(), F.lit("bad_date"))
         .when(unreadable, F.lit("bad_number"))
         .when(absent, F.lit("missing_measure"))
+        .when(~asked, F.lit("not_requested"))
         .alias("reject_reason"),
     )
+    broken = parsed.filter(F.col("answer").isNull()).select(
+        F.lit("bad_payload").alias("reject_reason")
+    )
+    return readable.unionByName(broken, allowMissingColumns=True)
 
 
 def weather_rows(days: DataFrame) -> DataFrame:
@@ -108,4 +120,6 @@ def weather_reject_counts(days: DataFrame) -> DataFrame:
         F.count_if(reason == "bad_date").alias("bad_date"),
         F.count_if(reason == "bad_number").alias("bad_number"),
         F.count_if(reason == "missing_measure").alias("missing_measure"),
+        F.count_if(reason == "not_requested").alias("not_requested"),
+        F.count_if(reason == "bad_payload").alias("bad_payload"),
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from galepost.functions.geo import box_distance_floor_km, distance_km, make_point
 from galepost.functions.numeric import percent, round_half_even
-from galepost.functions.text import clean_text, normalize_name, parse_iso_date, parse_number
+from galepost.functions.text import clean_text, column_name, parse_iso_date, parse_number
 from galepost.session import shared_folder, stage
 
 
@@ -22,8 +22,8 @@ def test_null_tokens_and_blanks(spark):
 
 
 def test_header_names():
-    assert normalize_name(" Zip Code ") == "zip_code"
-    assert normalize_name(None) == ""
+    assert column_name(" Zip Code ") == "zip_code"
+    assert column_name(None) == ""
 
 
 def test_numbers_parse_as_the_usual_text_forms(spark):

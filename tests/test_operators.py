@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from galepost.functions.geo import EARTH_RADIUS_KM, make_point
 from galepost.operators import centroid, checks, history, hubs, interval, metrics, nearest, rank
-from galepost.operators.skew import heavy_keys
 
 
 def rows(df):
@@ -36,14 +35,6 @@ def test_ordered_position_equals_sorting(spark):
     assert got == {c: i for i, c in enumerate(sorted(codes))}
 
 
-def test_heavy_keys_are_few_and_optional(spark):
-    df = spark.range(1000).selectExpr("if(id < 400, 'hot', cast(id as string)) k")
-    assert rows(heavy_keys(df, "k", min_rows=100)) == [("hot",)]
-    assert heavy_keys(df, "k") is None
-    unknown = spark.range(1000).selectExpr("if(id < 400, null, cast(id as string)) k")
-    assert rows(heavy_keys(unknown, "k", min_rows=100)) == [(None,)]
-
-
 # Centres
 
 
@@ -53,7 +44,7 @@ def ping_frame(spark, groups):
     return spark.createDataFrame(data, "k string, v double")
 
 
-def test_median_small_and_large_groups_agree_with_brute_force(spark):
+def test_median_agrees_with_brute_force(spark):
     chance = random.Random(5)
     groups = {
         "even": [1.0, 2.0, 3.0, 10.0],
@@ -73,9 +64,9 @@ def test_median_small_and_large_groups_agree_with_brute_force(spark):
         middle = [known[(len(known) - 1) // 2], known[len(known) // 2]] if known else None
         expected[key] = (len(values), 0.5 * middle[0] + 0.5 * middle[1] if known else None)
     df = ping_frame(spark, groups)
-    for limit in (1_000_000, 20, 0):
-        got = {k: (n, v) for k, n, v in rows(centroid.group_median(df, "k", ["v"], limit))}
-        assert got == expected, limit
+    for cells in (centroid.CELLS, (16.0,), ()):
+        got = {k: (n, v) for k, n, v in rows(centroid.group_median(df, "k", ["v"], cells))}
+        assert got == expected, cells
 
 
 def test_sketch_median_returns_an_element(spark):
@@ -223,16 +214,25 @@ def address_log(chance, size):
     ]
 
 
-@pytest.mark.parametrize("heavy", [None, ["hot"], ["hot", "p1", None], ["absent"]])
-def test_history_equals_brute_force_with_and_without_lanes(spark, heavy):
+@pytest.mark.parametrize("parts", ["1", "4", "40"])
+def test_history_equals_brute_force_however_it_is_parted(spark, parts):
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check_history(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def check_history(spark):
     events = address_log(random.Random(23), 600)
     df = spark.createDataFrame(
         events, "order_id string, person string, ts timestamp_ntz, zip string, city string"
     )
-    lanes = heavy and spark.createDataFrame([(h,) for h in heavy], "person string")
-    got = history.scd2_from_events(df, "person", ["zip", "city"], "ts", "order_id", lanes)
+    got = history.scd2_from_events(df, "person", ["zip", "city"], "ts", "order_id")
     assert Counter(rows(got)) == brute_versions(events)
-    versioned = history.versioned_events(df, "person", ["zip", "city"], "ts", "order_id", lanes)
+    versioned = history.versioned_events(df, "person", ["zip", "city"], "ts", "order_id")
     assert versioned.count() == len(events)
     assert versioned.filter("is_start").count() == sum(brute_versions(events).values())
 
@@ -354,4 +354,4 @@ def test_checks_count_offenders(spark):
     warned = report.filter("severity = 'warn'")
     assert checks.enforce(warned) is warned
     assert checks.out_of_tolerance(bridge.limit(0)).count() == 0
-    assert checks.offending_rows(df, "greater_than_zero", "n").count() == 2
+    assert df.filter(checks.broken("greater_than_zero", F.col("n"))).count() == 2

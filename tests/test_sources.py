@@ -1,10 +1,10 @@
 import json
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from galepost.operators.checks import enforce
+from galepost.operators.checks import CheckFailedError
 from galepost.plans import pipeline
 from galepost.sources import csv_files, registry, tables, weather_json
 
@@ -35,18 +35,26 @@ def test_csv_is_read_by_name_and_tolerantly(spark, tmp_path):
     assert rejected.count() == 0
 
 
-def test_only_files_with_quoted_newlines_are_read_whole(spark, tmp_path):
+def test_files_are_read_by_their_own_header(spark, tmp_path):
     plain = landed(tmp_path, 'x,y\n1,"a ""b"""\n2,c d\n', "plain one.csv")
+    swapped = landed(tmp_path, "y,x\nzip,5\n", "swapped.csv")
     broken = landed(tmp_path, 'y,x\n"line\nline",3\n', "broken.csv")
-    found = csv_files.quoted_newline_files(spark, [plain, broken])
-    by_name = {name.rsplit("/", 1)[1]: odd for name, odd in found.items()}
-    assert by_name == {"plain one.csv": False, "broken.csv": True}
-    expected = {("1", 'a "b"'), ("2", "c d"), ("3", "line\nline")}
-    rows = csv_files.read_landed_csv(spark, [plain, broken]).select("x", "y").collect()
-    assert {tuple(r) for r in rows} == expected
-    for split in (None, False, True):
-        alone = csv_files.read_landed_csv(spark, plain, split)
-        assert alone.count() == 2
+    expected = {("1", 'a "b"'), ("2", "c d"), ("5", "zip"), ("3", "line\nline")}
+    got = csv_files.read_landed_csv(spark, [plain, swapped, broken]).select("x", "y").collect()
+    assert {tuple(r) for r in got} == expected and len(got) == 4
+    assert len(csv_files.landed_groups(spark, [plain, swapped, broken])) == 3
+    assert csv_files.read_landed_csv(spark, [plain, swapped], "refuse").count() == 3
+    with pytest.raises(csv_files.QuotedNewlineError):
+        csv_files.read_landed_csv(spark, [plain, broken], "refuse")
+
+
+def test_every_file_must_have_its_columns(spark, tmp_path):
+    good = landed(tmp_path, ",".join(registry.SELLERS.columns) + "\ns1,01000,x,SP\n", "good.csv")
+    short = landed(tmp_path, 'seller_id,seller_city,seller_state\n"s\n2",y,SP\n', "short.csv")
+    with pytest.raises(csv_files.MissingColumnsError, match="seller_zip_code_prefix"):
+        csv_files.read_dataset(spark, registry.SELLERS, [good, short])
+    with pytest.raises(csv_files.MissingColumnsError, match="no header"):
+        csv_files.read_dataset(spark, registry.SELLERS, [good, landed(tmp_path, "", "none.csv")])
 
 
 def test_repeated_header_names_keep_the_last_column(spark, tmp_path):
@@ -74,7 +82,7 @@ def order_csv():
 
 def test_required_fields_reject_and_count(spark, tmp_path):
     valid, rejected = csv_files.read_dataset(
-        spark, registry.ORDERS, landed(tmp_path, order_csv()), quoted_newlines=False
+        spark, registry.ORDERS, landed(tmp_path, order_csv())
     )
     assert [r["order_id"] for r in rejected.collect()] == ["o2"]
     counts = csv_files.reject_counts(valid.union(rejected), registry.ORDERS.required).first()
@@ -127,7 +135,8 @@ def test_payload_days(spark):
     ]
     counts = weather_json.weather_reject_counts(days).first().asDict()
     assert counts == {
-        "loaded_rows": 3, "skipped_rows": 5, "bad_date": 1, "bad_number": 1, "missing_measure": 3,
+        "loaded_rows": 3, "skipped_rows": 6, "bad_date": 1, "bad_number": 1, "missing_measure": 3,
+        "not_requested": 0, "bad_payload": 1,
     }
 
 
@@ -178,14 +187,16 @@ def test_pipeline_end_to_end(spark, tmp_path):
     start, end = date(2018, 1, 1), date(2018, 1, 3)
     requests = pipeline.plan_weather_requests(spark, "raw_e2e", start, end)
     wanted = sorted(tuple(r) for r in requests.collect())
-    assert wanted == [("0", 0, -23.5, -46.5), ("0", 1, -24.0, -47.0)]
+    batch = wanted[0][0]
+    assert wanted == [(batch, 0, -23.5, -46.5, start, end), (batch, 1, -24.0, -47.0, start, end)]
     days = ["2018-01-01", "2018-01-02", "2018-01-03"]
     payload = [
         day(days, [30] * 3, [20] * 3, [1, 25, 2], [10] * 3),
         day(days, [30] * 3, [20] * 3, [1, 2, 3], [41, 10, None]),
     ]
-    responses = spark.createDataFrame([("0", json.dumps(payload))], "batch_id string, payload string")
-    assert pipeline.load_weather("raw_e2e", responses, requests) == 5
+    responses = spark.createDataFrame([(batch, json.dumps(payload))], "batch_id string, payload string")
+    assert pipeline.load_weather(spark, "raw_e2e", responses) == 5
+    assert pipeline.load_weather(spark, "raw_e2e", responses) == 0
     assert pipeline.plan_weather_requests(spark, "raw_e2e", start, end).count() == 0
 
     models = pipeline.build_models(spark, "raw_e2e", "models_e2e")
@@ -208,9 +219,102 @@ def test_pipeline_end_to_end(spark, tmp_path):
     ]
     centroid = {r["zip_code_prefix"]: r["state"] for r in models["zip_centroid"].collect()}
     assert centroid == {"01000": "SP", "02000": "UNKNOWN"}
-    report = pipeline.check_models(models)
-    assert report.count() == 37
-    enforce(report)
+    assert pipeline.check_models(models).count() == 37
+    bad = {**models, "fact_delivery_weather": models["fact_delivery_weather"].union(
+        models["fact_delivery_weather"])}
+    with pytest.raises(CheckFailedError, match="unique:order_id"):
+        pipeline.check_models(bad)
+    assert pipeline.check_models(bad, raise_errors=False).filter("status = 'fail'").count() == 1
     # The models are rebuilt in full; nothing piles up.
     again = pipeline.build_models(spark, "raw_e2e", "models_e2e")
     assert again["fact_delivery_weather"].count() == 2
+    builds = spark.sql("SHOW TABLES IN models_e2e LIKE 'fact_delivery_weather__*'").collect()
+    assert len(builds) == 1
+
+
+def test_a_load_that_broke_off_is_replaced(spark):
+    tables.create_raw_tables(spark, "raw_broken")
+    rows = spark.createDataFrame([("s1", "1", "x", "SP"), ("s2", "2", "y", "SP")],
+                                 registry.SELLERS.columns)
+    table = "raw_broken.sellers"
+    # What a crash in the middle leaves: a started load and some of its rows.
+    spark.sql(f"CREATE TABLE raw_broken.load_log ({tables.LOADS}) USING parquet")
+    tables._record(spark, "raw_broken.load_log", "sellers", "a", "started")
+    tables.append(rows.limit(1), table)
+    assert tables.load_once(rows, table) == 2
+    assert spark.table(table).count() == 2
+    assert tables.load_once(rows, table) == 0
+    # Rows that someone else put there stay.
+    other = spark.createDataFrame([("c", "u", "1", "t", "SP")], registry.CUSTOMERS.columns)
+    tables.append(other, "raw_broken.customers")
+    assert tables.load_once(other.union(other), "raw_broken.customers") == 0
+    assert spark.table("raw_broken.customers").count() == 1
+
+
+def four_hubs(spark, database):
+    """Raw tables with four prefixes, each with pings of its own."""
+    tables.create_raw_tables(spark, database)
+    names = ["01", "02", "03", "04"]
+    customers = [(f"c{n}", f"u{n}", n, "t", "SP") for n in names]
+    pings = [(n, str(10 * int(n)), str(20 * int(n)), "t", "SP") for n in names]
+    tables.load_once(spark.createDataFrame(customers, registry.CUSTOMERS.columns), f"{database}.customers")
+    tables.load_once(spark.createDataFrame(pings, registry.GEOLOCATION.columns), f"{database}.geolocation")
+
+
+def answer(spark, rows):
+    """Responses to stored requests: every day asked for, its rain telling the place."""
+    payloads = {}
+    for r in sorted(rows, key=lambda r: (r["batch_id"], r["pos"])):
+        days = [str(r["first_day"] + timedelta(n)) for n in range((r["last_day"] - r["first_day"]).days + 1)]
+        size = len(days)
+        payloads.setdefault(r["batch_id"], []).append(
+            day(days, [30] * size, [20] * size, [r["latitude"]] * size, [9] * size)
+        )
+    return spark.createDataFrame(
+        [(b, json.dumps(p)) for b, p in payloads.items()], "batch_id string, payload string"
+    )
+
+
+def stored(spark, database):
+    return sorted(
+        (r["hub_identifier"], float(r["latitude"]), str(r["logistics_date"]), float(r["precipitation_sum_mm"]))
+        for r in spark.table(f"{database}.weather").collect()
+    )
+
+
+def test_batches_are_loaded_in_any_order_and_again(spark):
+    four_hubs(spark, "raw_batches")
+    start, end = date(2018, 1, 1), date(2018, 1, 2)
+    asked = pipeline.plan_weather_requests(spark, "raw_batches", start, end, batch_size=2).collect()
+    ids = sorted({r["batch_id"] for r in asked})
+    assert len(ids) == 2 and len(asked) == 4
+    parts = [answer(spark, [r for r in asked if r["batch_id"] == b]) for b in ids]
+    assert pipeline.load_weather(spark, "raw_batches", parts[0]) == 4
+    # Another plan meanwhile has ids of its own.
+    later = pipeline.plan_weather_requests(spark, "raw_batches", start, end, batch_size=2).collect()
+    assert not {r["batch_id"] for r in later} & set(ids) and len(later) == 2
+    assert pipeline.load_weather(spark, "raw_batches", parts[1]) == 4
+    assert pipeline.load_weather(spark, "raw_batches", parts[0].union(parts[0])) == 0
+    assert pipeline.load_weather(spark, "raw_batches", answer(spark, later)) == 0
+    assert stored(spark, "raw_batches") == sorted(
+        (f"hub_{10.0 * n}_{20.0 * n}", 10.0 * n, f"2018-01-0{d}", 10.0 * n)
+        for n in (1, 2, 3, 4) for d in (1, 2)
+    )
+
+
+def test_missing_days_are_asked_for_alone(spark):
+    four_hubs(spark, "raw_days")
+    start, end = date(2018, 1, 1), date(2018, 1, 5)
+    first = pipeline.plan_weather_requests(spark, "raw_days", date(2018, 1, 3), date(2018, 1, 3))
+    first = first.sort("pos").collect()
+    pipeline.load_weather(spark, "raw_days", answer(spark, first[:1]))
+    asked = pipeline.plan_weather_requests(spark, "raw_days", start, end, "hub_day").collect()
+    known = first[0]["latitude"]
+    ranges = sorted((str(r["first_day"]), str(r["last_day"])) for r in asked if r["latitude"] == known)
+    assert ranges == [("2018-01-01", "2018-01-02"), ("2018-01-04", "2018-01-05")]
+    assert len(asked) == 5
+    # A response with a day too many: that day is not loaded.
+    wide = [r.asDict() | {"last_day": end} for r in asked]
+    loaded = pipeline.load_weather(spark, "raw_days", answer(spark, wide))
+    assert loaded == 4 * 5 - 1
+    assert len({row[1:3] for row in stored(spark, "raw_days")}) == len(stored(spark, "raw_days")) == 20
