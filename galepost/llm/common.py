@@ -58,6 +58,39 @@ def text_key(column: str = "text") -> F.Column:
     return F.xxhash64(F.col(column))
 
 
+# Bits of a key bitmap; 4 MB, whatever the number of keys.
+BITMAP_BITS = 1 << 25
+_BITMAP_ROW = 1 << 15
+
+
+def key_bitmap(keys: DataFrame, column: str) -> DataFrame:
+    """A bitmap of the hashes in ``column``: at most 1,024 rows of 4 KB."""
+    place = F.pmod(F.col(column), F.lit(BITMAP_BITS))
+    return keys.select(
+        F.floor(place / _BITMAP_ROW).cast("int").alias("__bucket"),
+        F.pmod(place, F.lit(_BITMAP_ROW)).alias("__bit"),
+    ).groupBy("__bucket").agg(F.bitmap_construct_agg("__bit").alias("__bits"))
+
+
+def may_hold(rows: DataFrame, bitmap: DataFrame, column: str, flag: str) -> DataFrame:
+    """``rows`` with a flag that is false only where no key has the hash in ``column``.
+
+    Before a join this keeps most of the rows without a partner from being moved. A bitmap
+    too full to tell keys apart lets all pass, so results never depend on it.
+    """
+    place = F.pmod(F.col(column), F.lit(BITMAP_BITS))
+    bit = F.pmod(place, F.lit(_BITMAP_ROW))
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    is_set = F.pmod(F.floor(byte.cast("int") / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1
+    return (
+        rows.withColumn("__bucket", F.floor(place / _BITMAP_ROW).cast("int"))
+        # Its size is bounded, see key_bitmap.
+        .join(F.broadcast(bitmap), "__bucket", "left")
+        .withColumn(flag, F.coalesce(is_set, F.lit(False)))
+        .drop("__bucket", "__bits")
+    )
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = values.astype(np.uint64, copy=True)

@@ -19,7 +19,17 @@ from pyspark.sql import functions as F
 
 from galepost.session import stage
 
-from .common import WordHasher, batch_of, map_batches, mix64, rows_of, text_key, word_shingles
+from .common import (
+    WordHasher,
+    batch_of,
+    key_bitmap,
+    map_batches,
+    may_hold,
+    mix64,
+    rows_of,
+    text_key,
+    word_shingles,
+)
 from .components import connected_components
 
 SHINGLE_WORDS = 5
@@ -32,7 +42,7 @@ SAMPLED = 3
 DEPTH = 4
 
 # Buckets up to this size are compared in full.
-SMALL_BUCKET = 64
+SMALL_BUCKET = 128
 
 # Agreement of the embeddings below which a pair is not looked at again: the similarity less
 # 3.4 standard deviations at 128 tokens.
@@ -172,7 +182,11 @@ def _agreeing(codes: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 
 def _bucket_edges(bound: float):
-    """Compares the classes of each bucket and names pairs that connect what agrees."""
+    """Compares the classes of each bucket and names pairs that connect what agrees.
+
+    A class with an anchor is connected to it already, so only pairs with one that has none
+    are looked at.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
@@ -180,12 +194,16 @@ def _bucket_edges(bound: float):
             names = [sid for sid, _, _ in rows]
             codes = np.frombuffer(b"".join(code for _, code, _ in rows), dtype=np.uint8)
             codes = codes.reshape(len(rows), TOKENS)
-            active = np.array([flag for _, _, flag in rows])
+            active = np.array([anchor is None for _, _, anchor in rows])
             near = np.concatenate(
                 [_agreeing(codes[i : i + 64], codes) for i in range(0, len(rows), 64)]
             )
             pairs = np.argwhere(np.triu(near >= bound, 1) & (active[:, None] | active[None, :]))
-            out += [(names[i], names[j]) for i, j in Forest(len(rows)).join(pairs)]
+            forest, held = Forest(len(rows)), {}
+            for i, (_, _, anchor) in enumerate(rows):
+                if anchor is not None:
+                    forest.join(np.array([[held.setdefault(anchor, i), i]]))
+            out += [(names[i], names[j]) for i, j in forest.join(pairs)]
             if len(out) > 5000:
                 yield batch_of(out, _EDGE)
                 out = []
@@ -194,15 +212,15 @@ def _bucket_edges(bound: float):
     return run
 
 
-_PATH = pa.schema([("path", pa.int64()), ("sid", pa.binary()), ("active", pa.bool_())])
+_PATH = pa.schema([("path", pa.int64()), ("sid", pa.binary()), ("anchor", pa.binary())])
 
 
 def _deal(rows: DataFrame, start: np.ndarray | None) -> DataFrame:
-    """The child paths of (path, active, sid, tokens); of every root for a first level."""
+    """The child paths of (path, anchor, sid, tokens); of every root for a first level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths, active, names, packed = (column.to_pylist() for column in batch.columns)
+            paths, anchors, names, packed = (column.to_pylist() for column in batch.columns)
             if not names:
                 continue
             tokens = np.frombuffer(b"".join(packed), dtype=np.uint32).reshape(-1, TOKENS)
@@ -218,20 +236,18 @@ def _deal(rows: DataFrame, start: np.ndarray | None) -> DataFrame:
                 [
                     pa.array(found.view(np.int64).ravel()),
                     pa.array([n for n in names for _ in range(each)], type=pa.binary()),
-                    pa.array(np.repeat(np.array(active, dtype=bool), each)),
+                    pa.array([a for a in anchors for _ in range(each)], type=pa.binary()),
                 ],
                 schema=_PATH,
             )
 
     return map_batches(
-        rows.select("path", "active", "sid", "tokens"),
+        rows.select("path", "anchor", "sid", "tokens"),
         run,
-        "path long, sid binary, active boolean",
+        "path long, sid binary, anchor binary",
     )
 
 
-
-
 _CODED = pa.schema([("sid", pa.binary()), ("code", pa.binary())])
 
 
@@ -249,14 +265,20 @@ def _coded(classes: DataFrame) -> DataFrame:
 
 
 def _near_pivot(rows: DataFrame, bound: float) -> DataFrame:
-    """(path, sid, pivot, near) for rows that carry their own code and their pivot's."""
+    """(path, sid, anchor, pivot, near) for rows with their own code and their pivot's."""
     schema = pa.schema(
-        [("path", pa.int64()), ("sid", pa.binary()), ("pivot", pa.binary()), ("near", pa.bool_())]
+        [
+            ("path", pa.int64()),
+            ("sid", pa.binary()),
+            ("anchor", pa.binary()),
+            ("pivot", pa.binary()),
+            ("near", pa.bool_()),
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths, names, codes, pivots, theirs = (c.to_pylist() for c in batch.columns)
+            paths, names, anchors, codes, pivots, theirs = (c.to_pylist() for c in batch.columns)
             if not names:
                 continue
             own = np.frombuffer(b"".join(codes), dtype=np.uint8).reshape(-1, TOKENS)
@@ -266,6 +288,7 @@ def _near_pivot(rows: DataFrame, bound: float) -> DataFrame:
                 [
                     pa.array(paths, type=pa.int64()),
                     pa.array(names, type=pa.binary()),
+                    pa.array(anchors, type=pa.binary()),
                     pa.array(pivots, type=pa.binary()),
                     pa.array(near),
                 ],
@@ -273,9 +296,9 @@ def _near_pivot(rows: DataFrame, bound: float) -> DataFrame:
             )
 
     return map_batches(
-        rows.select("path", "sid", "code", "pivot", "pivot_code"),
+        rows.select("path", "sid", "anchor", "code", "pivot", "pivot_code"),
         run,
-        "path long, sid binary, pivot binary, near boolean",
+        "path long, sid binary, anchor binary, pivot binary, near boolean",
     )
 
 
@@ -283,15 +306,18 @@ def candidate_edges(classes: DataFrame, similarity: float, recall: float) -> Dat
     """Pairs ``(a, b)`` of classes that connect all whose embeddings met and agree.
 
     A large bucket is first compared with one of its classes, its pivot. What agrees with the
-    pivot is connected by that and stays only as a partner of the others; so a bucket full of
-    copies of one text ends here and is never expanded to pairs.
+    pivot is connected by that, has it as its anchor, and stays only as a partner of the
+    others; so a bucket full of copies of one text ends here and is never expanded to pairs.
     """
     spark = classes.sparkSession
     bound = sketch_bound(similarity)
-    coded = stage(_coded(classes), "join-codes")
+    coded = met = None
     dealt = _deal(
         classes.select(
-            F.lit(0).cast("long").alias("path"), F.lit(True).alias("active"), "sid", "tokens"
+            F.lit(0).cast("long").alias("path"),
+            F.lit(None).cast("binary").alias("anchor"),
+            "sid",
+            "tokens",
         ),
         roots(runs_for(similarity, recall)),
     )
@@ -299,13 +325,20 @@ def candidate_edges(classes: DataFrame, similarity: float, recall: float) -> Dat
     for level in range(1, DEPTH + 1):
         rows = stage(dealt, "join-paths")
         sizes = rows.groupBy("path").agg(
-            F.count("*").alias("members"), F.max("active").alias("alive")
+            F.count("*").alias("members"), F.max(F.isnull("anchor")).alias("alive")
         )
         full = stage(
             rows.join(sizes.where("members > 1 AND alive"), "path").drop("alive"), "join-buckets"
         )
+        if met is None:
+            # Few classes meet any other; only theirs are moved from here on.
+            met = stage(
+                classes.select("sid", "tokens").join(full.select("sid").distinct(), "sid"),
+                "join-met",
+            )
+            coded = stage(_coded(met), "join-codes")
         small = full.where(F.col("members") <= SMALL_BUCKET).select(
-            "path", F.lit(0).alias("i"), F.lit(0).alias("j"), "sid", "active"
+            "path", F.lit(0).alias("i"), F.lit(0).alias("j"), "sid", "anchor"
         )
         large = full.where(F.col("members") > SMALL_BUCKET)
         more = bool(large.take(1))
@@ -322,12 +355,12 @@ def candidate_edges(classes: DataFrame, similarity: float, recall: float) -> Dat
                     F.least("own", "other").alias("i"),
                     F.greatest("own", "other").alias("j"),
                     "sid",
-                    "active",
+                    "anchor",
                 )
             )
         compared = (
             small.join(coded, "sid")
-            .select("path", "i", "j", "sid", "code", "active")
+            .select("path", "i", "j", "sid", "code", "anchor")
             .repartition("path", "i", "j")
             .sortWithinPartitions("path", "i", "j")
         )
@@ -343,16 +376,17 @@ def candidate_edges(classes: DataFrame, similarity: float, recall: float) -> Dat
         near = stage(
             _near_pivot(large.join(coded, "sid").join(pivots, "path"), bound), "join-pivots"
         )
+        # Of classes with the same anchor one pair connects all.
+        met_by = near.where("near AND sid <> pivot").groupBy(
+            "path", "pivot", F.coalesce("anchor", "sid").alias("held")
+        )
         found = found.unionByName(
-            near.where("near AND sid <> pivot").select(
-                F.col("pivot").alias("a"), F.col("sid").alias("b")
-            )
+            met_by.agg(F.min("sid").alias("b")).select(F.col("pivot").alias("a"), "b")
         )
         dealt = _deal(
-            large.drop("members")
-            .join(near.select("path", "sid", "near"), ["path", "sid"])
-            .withColumn("active", F.col("active") & ~F.col("near"))
-            .join(classes.select("sid", "tokens"), "sid"),
+            near.withColumn(
+                "anchor", F.coalesce("anchor", F.when(F.col("near"), F.col("pivot")))
+            ).join(met, "sid"),
             None,
         )
     return found
@@ -449,6 +483,8 @@ def _whole_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
                 _SETS,
             )
 
+    asked = stage(key_bitmap(wanted, "tie"), "join-bitmap")
+    keyed = may_hold(keyed, asked, "tie", "asked").where("asked").drop("asked")
     texts = keyed.join(wanted, ["id", "no_id", "tie"]).select("sid", "text")
     # Repetitions of a row are the same set.
     return map_batches(texts, run, "sid binary, shingles binary").dropDuplicates(["sid"])

@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 
 import __spark_entry__ as registry
+from galepost.llm import common
 from galepost.llm import jaccard_join as jj
 from galepost.llm.components import connected_components
 
@@ -151,3 +152,13 @@ def test_query(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
     rows = registry.queries()["op9_jaccard_join"](spark, sf)
     assert found(rows) == expected([d.text for d in docs])
+
+
+def test_bitmap_never_loses_a_key(spark):
+    rows = spark.range(0, 3000).selectExpr("id", "xxhash64(id) h")
+    keys = rows.where("id % 7 = 0")
+    kept = common.may_hold(rows, common.key_bitmap(keys, "h"), "h", "has").where("has")
+    ids = {r.id for r in kept.collect()}
+    assert {r.id for r in keys.collect()} <= ids and len(ids) < 450
+    none = common.may_hold(rows, common.key_bitmap(keys.limit(0), "h"), "h", "has")
+    assert none.where("has").count() == 0 and none.count() == 3000
