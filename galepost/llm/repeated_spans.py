@@ -26,7 +26,16 @@ from pyspark.sql import functions as F
 from galepost.session import stage
 
 from .column_bwt import Collection
-from .common import MASK64, batch_of, map_batches, mix64, rows_of, text_key
+from .common import (
+    MASK64,
+    batch_of,
+    key_bitmap,
+    map_batches,
+    may_hold,
+    mix64,
+    rows_of,
+    text_key,
+)
 
 LENGTH = 400
 GRAM = 64
@@ -212,7 +221,9 @@ def _recut(docs: DataFrame, pieces: DataFrame, step: int, length: int) -> DataFr
     asked = pieces.groupBy(*_KEYS).agg(
         F.collect_list(F.struct("key", "start", "strings", "anchor")).alias("asked")
     )
-    texts = _keyed(docs).join(asked, _KEYS).select(*_KEYS, "text", "asked")
+    bitmap = stage(key_bitmap(pieces, "tie"), "repeats-bitmap")
+    texts = may_hold(_keyed(docs), bitmap, "tie", "has").where("has")
+    texts = texts.join(asked, _KEYS).select(*_KEYS, "text", "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -397,8 +408,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFram
     ``doc_id`` and ``text`` are read.
     """
     spans = repeated_strings(docs, length, **options)
-    of_doc = spans.groupBy(*_KEYS).agg(F.collect_list(F.struct("start", "strings")).alias("spans"))
-    rows = _keyed(docs).join(of_doc, _KEYS, "left").select("id", "no_id", "text", "spans")
+    of_doc = stage(
+        spans.groupBy(*_KEYS).agg(F.collect_list(F.struct("start", "strings")).alias("spans")),
+        "repeats-spans",
+    )
+    # Texts that certainly keep all of their bytes are not moved.
+    bitmap = stage(key_bitmap(of_doc, "tie"), "repeats-bitmap")
+    texts = may_hold(_keyed(docs), bitmap, "tie", "has")
+    wanted = ["id", "no_id", "text", "spans"]
+    none = F.lit(None).cast("array<struct<start:long,strings:int>>")
+    untouched = texts.where("NOT has").withColumn("spans", none).select(*wanted)
+    rows = texts.where("has").join(of_doc, _KEYS, "left").select(*wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -414,5 +434,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFram
             yield batch_of(out, _KEPT)
 
     return map_batches(
-        rows, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        rows.unionByName(untouched),
+        run,
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
     )
