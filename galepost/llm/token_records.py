@@ -31,9 +31,9 @@ from .common import batch_of, map_batches, rows_of, text_key
 from .running import carried
 
 END_ID = 2
-# Entries of a generation of the caches; two are held.
-CACHED_WORDS = 200_000
-CACHED_PIECES = 150_000
+# Distinct words that the library gets as one text, and characters whose words are pooled.
+WORDS_AT_ONCE = 256
+CHARS_AT_ONCE = 6_000_000
 _HEAD = struct.Struct("<QI")
 _TAIL = struct.Struct("<I")
 
@@ -73,110 +73,99 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
 # The vocabulary's own way to split lower-case text; white space is dropped.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
-def _shown_bytes() -> dict[int, int]:
-    """The character that stands for each byte in the vocabulary: printable ones for
-    themselves, the others in order from 256 on."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = [b for b in range(256) if b not in plain]
-    return {b: b if b in plain else 256 + rest.index(b) for b in range(256)}
-
-
-_SHOWN = _shown_bytes()
-
 # What every version of the character tables splits and lowers alike, and composition leaves
 # alone. Texts with any other character are given to the library as they are.
 _UNCOMMON = regex.compile(r"[^\x00-\x1b\x20-\x84\x86-\u012f\u0131-\u024f]")
 
 
-class Recent:
-    """A bounded cache: entries not asked for during a whole generation go."""
+# Marks that often follow a word.
+_MARKS = pa.array([".", ",", ";", ":", "!", "?"], type=pa.large_string())
 
-    def __init__(self, entries: int):
-        self.entries = entries
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """Those of ``keys`` that are not known; the others are in ``young`` afterwards."""
-        young, old = self.young, self.old
-        out = []
-        for key in keys - young.keys():
-            value = old.get(key)
-            if value is None:
-                out.append(key)
-            else:
-                young[key] = value
-        return out
-
-    def age(self) -> None:
-        """Called when nothing that was asked for is needed any more."""
-        if len(self.young) > self.entries:
-            self.young, self.old = {}, self.young
+def laid_out(
+    data: np.ndarray, count: np.ndarray, order: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of ``data``, ``count`` each, put one after another in an order of entries;
+    and where each ends, after a leading zero."""
+    first = np.cumsum(count) - count
+    size = count[order]
+    end = np.concatenate([[0], np.cumsum(size)])
+    place = np.repeat(first[order] - end[:-1], size) + np.arange(end[-1])
+    return data[place], end
 
 
 class PieceIds:
-    """Ids of whole texts; distinct words and pieces are encoded once while they are cached.
+    """Ids of whole texts, each distinct word of a batch given to the library once.
 
     The merges of this vocabulary never cross a piece and no piece holds white space, so a
-    text's ids are those of its pieces in order. The strings of special tokens count as
-    ordinary text.
+    text's ids are those of its words in order. Distinct words are encoded many at a time,
+    joined by blanks; the last id of every piece ends a word in the vocabulary, which tells
+    them apart again. The strings of special tokens count as ordinary text.
     """
 
-    def __init__(
-        self, path: str, dtype: str = "<u4", words: int = CACHED_WORDS, pieces: int = CACHED_PIECES
-    ):
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        self.model = self.whole.model
+    def __init__(self, path: str, dtype: str = "<u4"):
+        self.model = Tokenizer.from_file(path)
+        self.model.encode_special_tokens = True
         self.dtype = np.dtype(dtype)
-        self.words = Recent(words)
-        self.pieces = Recent(pieces)
-
-    def _encode(self, text: str) -> bytes:
-        ids = self.whole.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype=self.dtype).tobytes()
-
-    def _merge(self, piece: str) -> bytes:
-        """Ids of one piece by the merges alone, which is all that is left to do with it."""
-        shown = piece.encode().decode("latin-1").translate(_SHOWN)
-        return np.array([t.id for t in self.model.tokenize(shown)], dtype=self.dtype).tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        """Put the ids of lower-case words into the cache."""
-        split = [(w, (w,) if w.isalpha() else _PIECE.findall(w)) for w in words]
-        ids = self.pieces.young
-        for piece in self.pieces.missing({piece for _, pieces in split for piece in pieces}):
-            ids[piece] = self._merge(piece)
-        for word, pieces in split:
-            self.words.young[word] = b"".join([ids[piece] for piece in pieces])
-        self.pieces.age()
+        words = self.model.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(words.values()) + 1, dtype=bool)
+        self.ends[[n for word, n in words.items() if word.endswith("</w>")]] = True
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, and how many each has."""
+        # A word and the mark after it are two pieces; so fewer are distinct.
+        mark = pc.utf8_slice_codeunits(words, -1)
+        stem = pc.utf8_slice_codeunits(words, 0, -1)
+        marked = pc.and_(pc.is_in(mark, value_set=_MARKS), pc.utf8_is_alpha(stem))
+        empty = pa.scalar("", type=words.type)
+        parts = pa.concat_arrays(
+            [pc.if_else(marked, stem, words), pc.if_else(marked, mark, empty)]
+        ).dictionary_encode()
+        data, count = self._pieces(parts.dictionary)
+        part = parts.indices.to_numpy().reshape(2, -1).T.ravel()
+        ids, end = laid_out(data, count, part)
+        return ids, np.diff(end[::2])
+
+    def _pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words as the library splits them."""
+        texts = words.to_numpy(zero_copy_only=False).tolist()
+        joined = [
+            " ".join(texts[start : start + WORDS_AT_ONCE])
+            for start in range(0, len(texts), WORDS_AT_ONCE)
+        ]
+        found = [
+            np.array(x.ids, dtype=self.dtype)
+            for x in self.model.encode_batch_fast(joined, add_special_tokens=False)
+        ]
+        ids = np.concatenate([*found, np.zeros(0, dtype=self.dtype)])
+        pieces = np.ones(len(texts), dtype=np.int64)
+        for n in np.flatnonzero(~pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)).tolist():
+            pieces[n] = len(_PIECE.findall(texts[n]))
+        ends = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+        if len(ends) - 1 != pieces.sum():  # a word that splits otherwise than alone
+            each = [self._ids(text) for text in texts]
+            ids = np.concatenate([*each, np.zeros(0, dtype=self.dtype)])
+            return ids, np.fromiter(map(len, each), np.int64, len(each))
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(pieces)])])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         common = []
         for n, text in enumerate(texts):
             if _UNCOMMON.search(text):
-                out[n] = self._encode(text)
+                out[n] = self._ids(text).tobytes()
             else:
                 common.append(n)
         lists = pc.utf8_split_whitespace(
             pc.utf8_lower(pa.array([texts[n] for n in common], type=pa.large_string()))
         )
         coded = pc.list_flatten(lists).dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        self._learn(self.words.missing(set(words)))
-        ids = [self.words.young[word] for word in words]
-        self.words.age()
-        # Word by word: where its ids are in all ids of the distinct words, and how many.
-        data = np.frombuffer(b"".join(ids), dtype=self.dtype)
-        count = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-        first = np.cumsum(count) - count
-        word = coded.indices.to_numpy()
-        size = count[word]
-        end = np.cumsum(size)
-        place = np.repeat(first[word] - (end - size), size) + np.arange(len(word) and end[-1])
-        whole = data[place]
-        cut = np.concatenate([[0], end])[np.asarray(lists.offsets)]
+        data, count = self._words(coded.dictionary)
+        whole, end = laid_out(data, count, coded.indices.to_numpy())
+        cut = end[np.asarray(lists.offsets)]
         for k, n in enumerate(common):
             out[n] = whole[cut[k] : cut[k + 1]].tobytes()
         return out
@@ -188,6 +177,23 @@ def shared_encoder(path: str, dtype: str) -> PieceIds:
     return PieceIds(path, dtype)
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of several batches at a time: fewer distinct words in all."""
+    ids: list = []
+    texts: list[str] = []
+    chars = 0
+    for batch in batches:
+        for doc, text in rows_of(batch):
+            ids.append(doc)
+            texts.append(text or "")
+            chars += len(texts[-1])
+            if chars >= CHARS_AT_ONCE:
+                yield ids, texts
+                ids, texts, chars = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def id_type(path: str, end_id: int) -> str:
     """The narrower of the two id types that holds the whole vocabulary."""
     size = max(Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True), end_id + 1)
@@ -232,10 +238,9 @@ def write_records(
         attempt = f"{path}/.attempt-{shard:06d}-{task.taskAttemptId()}"
         at = ordinal = 0
         with system.open_output_stream(attempt) as sink:
-            for batch in batches:
+            for docs_of, texts in gathered(batches):
                 out = []
-                docs_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                for doc, ids in zip(docs_of, encode([t or "" for t in texts]), strict=True):
+                for doc, ids in zip(docs_of, encode(texts), strict=True):
                     record = frame(ids + tail)
                     sink.write(record)
                     out.append((shard, ordinal, doc, at, len(record), width))

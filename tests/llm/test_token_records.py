@@ -31,7 +31,7 @@ ODD = [
 def test_pieces_give_the_ids_of_whole_texts(edge_texts):
     texts = [*(t or "" for t in edge_texts), *ODD]
     texts += ["".join(map(chr, range(start, start + 64))) for start in range(0, 0x300, 64)]
-    encode = tr.PieceIds(PATH, words=50, pieces=20)
+    encode = tr.PieceIds(PATH)
     for _ in range(2):
         got = encode(texts)
         assert [g + np.array([2], "<u4").tobytes() for g in got] == plain_ids(texts)
