@@ -601,13 +601,15 @@ def keep_one_per_group(docs: DataFrame, **options) -> DataFrame:
     """One row of each group, with all its columns; rows without words stay.
 
     The row with the least id stays (nulls last, then by a hash of the text). Of repetitions
-    of one row, equal in id and text, any one stays.
+    of one row, equal in id and text, any one stays. Rows that are alone in their group are
+    passed on where they are read; only the others are moved.
     """
     rows, classes = near_duplicates(docs, **options)
     mark = "__"
     while any(name.lower().startswith(f"{mark}key") for name in docs.columns):
         mark += "_"
     keys = [f"{mark}key{i}" for i in range(3)]
+    hit, stays, alone = f"{mark}key_hit", f"{mark}key_stays", f"{mark}key_alone"
 
     def keyed(tie: F.Column) -> list[F.Column]:
         return [
@@ -616,15 +618,26 @@ def keep_one_per_group(docs: DataFrame, **options) -> DataFrame:
             tie.alias(keys[2]),
         ]
 
-    kept = (
-        classes.select("keeper.doc_id", "keeper.tie")
-        .distinct()
-        .unionByName(rows.where("sid IS NULL").select("doc_id", "tie").distinct())
-        .select(*keyed(F.col("tie")))
+    grouped = rows.join(classes, "sid").groupBy("group").agg(F.count("*").alias("members"))
+    several = classes.join(grouped.where("members > 1"), "group").select("sid", "keeper")
+    is_keeper = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (
+        F.col("tie") == F.col("keeper.tie")
     )
-    return (
-        docs.select("*", *keyed(text_key()))
-        .join(kept, keys, "left_semi")
-        .dropDuplicates(keys)
-        .drop(*keys)
+    judged = stage(
+        rows.join(several, "sid")
+        .select(*keyed(F.col("tie")), is_keeper.alias(stays))
+        .distinct(),
+        "join-judged",
     )
+    bitmap = stage(key_bitmap(judged, keys[2]), "join-bitmap")
+    told = may_hold(docs.select("*", *keyed(text_key())), bitmap, keys[2], hit)
+    moved = (
+        told.where(hit)
+        .join(judged, keys, "left")
+        .where(F.coalesce(stays, F.lit(True)))
+        # Repetitions of a row that stays are one; rows of no group are told apart.
+        .withColumn(alone, F.when(F.isnull(stays), F.monotonically_increasing_id()))
+        .dropDuplicates([*keys, alone])
+    )
+    helpers = [*keys, hit, stays, alone]
+    return told.where(~F.col(hit)).drop(*helpers).unionByName(moved.drop(*helpers))
