@@ -333,12 +333,14 @@ def repeated_strings(
         groups = each.groupBy("key").agg(
             F.count("*").alias("total"), (F.min("name") != F.max("name")).alias("different")
         )
-        shared = _written(
-            each.join(groups.where("total > 1").drop("total"), "key"), "repeats-shared"
-        )
+        # Written before they are joined: a join of two plain exchanges can be split where a
+        # key is hot, one with an aggregate in between cannot.
+        groups = _written(groups.where("total > 1").drop("total"), "repeats-groups")
+        shared = _written(each.join(groups, "key"), "repeats-shared")
         named = shared.groupBy("key", "name").agg(
             F.count("*").alias("times"), F.min(F.struct(*_KEYS, "start")).alias("first")
         )
+        named = _written(named, "repeats-named")
         # All strings of a piece that occurs twice do; of equal pieces one goes on.
         counted = _written(
             shared.join(named, ["key", "name"])

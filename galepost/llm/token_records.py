@@ -248,6 +248,9 @@ def write_records(
                     ordinal += 1
                 yield batch_of(out, _INDEX)
         if ordinal:
+            # Not every store replaces a file that an earlier attempt left.
+            if system.get_file_info(name).type != fs.FileType.NotFound:
+                system.delete_file(name)
             system.move(attempt, name)
         else:
             system.delete_file(attempt)
