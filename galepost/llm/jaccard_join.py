@@ -409,13 +409,17 @@ def _links(similarity: float):
             union = sizes[:, None] + sizes[None, :] - shared
             linked = shared >= similarity * union - 1e-9
             np.fill_diagonal(linked, False)
+            forest = Forest(len(rows))
             if i != j:
-                # Pairs within a block belong to that block's own turn.
-                linked &= block[:, None] != block[None, :]
+                # Pairs within a block belong to that block's own turn; here they only tell
+                # what is connected already.
+                inside = block[:, None] == block[None, :]
+                forest.join(np.argwhere(np.triu(linked & inside, 1)))
+                linked &= ~inside
             gained = linked.astype(np.int64) @ weight
             out += [(names[k], None, int(gained[k])) for k in np.flatnonzero(gained).tolist()]
             pairs = np.argwhere(np.triu(linked, 1))
-            out += [(names[a], names[b], 0) for a, b in Forest(len(rows)).join(pairs)]
+            out += [(names[a], names[b], 0) for a, b in forest.join(pairs)]
             if len(out) > 5000:
                 yield batch_of(out, schema)
                 out = []
