@@ -52,6 +52,30 @@ def plain_codes(codes):
     return "".join(map(chr, codes))
 
 
+def test_excerpts_are_found_at_every_offset():
+    rng = random.Random(11)
+    item = plain(prose(77, 80))
+    assert len(item) > 350
+    patterns = dc.patterns_of([(1, item)])
+    for size in (120, 140, 170):
+        excerpts = [item[at : at + size] for at in range(len(item) - size + 1)]
+        found = dc.find_in_texts(patterns, [f"{prose(78, 6)} {x} {prose(79, 6)}" for x in excerpts])
+        assert sorted((f[0], f[2], f[3]) for f in found) == [(n, 1, 0) for n in range(len(excerpts))]
+    for at in range(0, len(item) - dc.PASSAGE + 1, 7):
+        changed = noisy(rng, item[at : at + dc.PASSAGE], 4)
+        assert dc.find_in_texts(patterns, [f"{prose(78, 6)} {changed} {prose(79, 6)}"])
+    assert not dc.find_in_texts(patterns, [f"{prose(78, 6)} {item[40:40 + 110]} {prose(79, 6)}"])
+
+
+def test_an_edit_in_the_middle_of_a_small_item():
+    for size in range(25, 51):
+        item = plain(prose(size, 20))[:size].strip()
+        text = f"== {item[: len(item) // 2]}#{item[len(item) // 2 + 1 :]} =="
+        assert [f[3] for f in dc.find_in_texts(dc.patterns_of([(1, item)]), [text])] == (
+            [1] if len(item) >= 25 else []
+        )
+
+
 def test_place_is_that_of_the_original_text():
     item = prose(9, 30)
     text = "Intro  text\n\n" + item.upper().replace(" ", "   ") + " end"
