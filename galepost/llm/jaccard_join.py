@@ -44,24 +44,54 @@ DEPTH = 4
 # Buckets up to this size are compared in full.
 SMALL_BUCKET = 128
 
-# Agreement of the embeddings below which a pair is not looked at again: the similarity less
-# 3.4 standard deviations at 128 tokens.
-SKETCH_SLACK = 3.4
-
 # Classes of a component are compared block by block.
 BLOCK = 256
 
 
+def _agreement(share: float) -> np.ndarray:
+    """Probability of each number of equal tokens, where one is equal with this probability."""
+    return np.array(
+        [math.comb(TOKENS, n) * share**n * (1 - share) ** (TOKENS - n) for n in range(TOKENS + 1)]
+    )
+
+
+def missed_by_paths(similarity: float, runs: int) -> float:
+    """Probability that a pair shares no last bucket in any run.
+
+    All runs sample from one embedding, so a pair whose tokens happen to agree less is more
+    likely to be missed by each of them; hence the mean over what may agree.
+    """
+    agreeing = np.arange(TOKENS + 1)
+    sampled = [
+        np.array([math.comb(n, h) * math.comb(TOKENS - n, SAMPLED - h) for n in agreeing.tolist()])
+        / math.comb(TOKENS, SAMPLED)
+        for h in range(SAMPLED + 1)
+    ]
+    missed = np.zeros(TOKENS + 1)
+    for _ in range(DEPTH):
+        missed = sum(chance * missed**h for h, chance in enumerate(sampled))
+    return float(_agreement(similarity) @ missed**runs)
+
+
 def runs_for(similarity: float, recall: float) -> int:
     """Runs until a pair at the threshold shares a bucket with the wanted probability."""
-    found = 1.0
-    for _ in range(DEPTH):
-        found = 1 - (1 - similarity * found) ** SAMPLED
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - found)))
+    if not recall < 1:
+        raise ValueError(f"no number of runs reaches a recall of {recall}")
+    runs = 1
+    while missed_by_paths(similarity, runs) >= 1 - recall:
+        runs += 1
+    return runs
 
 
-def sketch_bound(similarity: float) -> float:
-    return similarity - SKETCH_SLACK * math.sqrt(similarity * (1 - similarity) / TOKENS)
+def sketch_bound(similarity: float, recall: float) -> float:
+    """Share of equal embedding bytes below which a pair is not looked at again.
+
+    Pairs at the threshold that fall below it, and those that paths miss, are together no more
+    than ``recall`` leaves. Bytes of different tokens agree by chance as well.
+    """
+    left = 1 - recall - missed_by_paths(similarity, runs_for(similarity, recall))
+    below = np.cumsum(_agreement(similarity + (1 - similarity) / 256))
+    return min(int(np.searchsorted(below, left, side="right")), TOKENS) / TOKENS
 
 
 _FACTORS = mix64(np.arange(1, TOKENS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -184,26 +214,30 @@ def _agreeing(codes: np.ndarray, others: np.ndarray) -> np.ndarray:
 def _bucket_edges(bound: float):
     """Compares the classes of each bucket and names pairs that connect what agrees.
 
-    A class with an anchor is connected to it already, so only pairs with one that has none
-    are looked at.
+    Classes with the same anchor are connected by it already. Of a pair of blocks, pairs
+    within a block are that block's own turn; here they only tell what is connected.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
-        for _, rows in streamed_groups(batches, 3):
-            names = [sid for sid, _, _ in rows]
-            codes = np.frombuffer(b"".join(code for _, code, _ in rows), dtype=np.uint8)
+        for (_, i, j), rows in streamed_groups(batches, 3):
+            names = [r[0] for r in rows]
+            codes = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.uint8)
             codes = codes.reshape(len(rows), TOKENS)
-            active = np.array([anchor is None for _, _, anchor in rows])
             near = np.concatenate(
-                [_agreeing(codes[i : i + 64], codes) for i in range(0, len(rows), 64)]
+                [_agreeing(codes[k : k + 64], codes) for k in range(0, len(rows), 64)]
             )
-            pairs = np.argwhere(np.triu(near >= bound, 1) & (active[:, None] | active[None, :]))
+            near = np.triu(near >= bound, 1)
             forest, held = Forest(len(rows)), {}
-            for i, (_, _, anchor) in enumerate(rows):
+            for k, (_, _, anchor, _) in enumerate(rows):
                 if anchor is not None:
-                    forest.join(np.array([[held.setdefault(anchor, i), i]]))
-            out += [(names[i], names[j]) for i, j in forest.join(pairs)]
+                    forest.join(np.array([[held.setdefault(anchor, k), k]]))
+            if i != j:
+                block = np.array([r[3] for r in rows])
+                inside = block[:, None] == block[None, :]
+                forest.join(np.argwhere(near & inside))
+                near &= ~inside
+            out += [(names[a], names[b]) for a, b in forest.join(np.argwhere(near))]
             if len(out) > 5000:
                 yield batch_of(out, _EDGE)
                 out = []
@@ -302,15 +336,24 @@ def _near_pivot(rows: DataFrame, bound: float) -> DataFrame:
     )
 
 
+def _bucket_sizes(rows: DataFrame) -> DataFrame:
+    """Members of every bucket, and whether it holds what no anchor connects yet."""
+    return rows.groupBy("path").agg(
+        F.count("*").alias("members"),
+        (F.max(F.isnull("anchor")) | (F.min("anchor") != F.max("anchor"))).alias("alive"),
+    )
+
+
 def candidate_edges(classes: DataFrame, similarity: float, recall: float) -> DataFrame:
     """Pairs ``(a, b)`` of classes that connect all whose embeddings met and agree.
 
     A large bucket is first compared with one of its classes, its pivot. What agrees with the
-    pivot is connected by that, has it as its anchor, and stays only as a partner of the
-    others; so a bucket full of copies of one text ends here and is never expanded to pairs.
+    pivot is connected by that, has it as its anchor, and stays only as a partner of those
+    with another or none; so a bucket full of copies of one text ends here and is never
+    expanded to pairs.
     """
     spark = classes.sparkSession
-    bound = sketch_bound(similarity)
+    bound = sketch_bound(similarity, recall)
     coded = met = None
     dealt = _deal(
         classes.select(
@@ -324,12 +367,8 @@ def candidate_edges(classes: DataFrame, similarity: float, recall: float) -> Dat
     found = spark.createDataFrame([], "a binary, b binary")
     for level in range(1, DEPTH + 1):
         rows = stage(dealt, "join-paths")
-        sizes = rows.groupBy("path").agg(
-            F.count("*").alias("members"), F.max(F.isnull("anchor")).alias("alive")
-        )
-        full = stage(
-            rows.join(sizes.where("members > 1 AND alive"), "path").drop("alive"), "join-buckets"
-        )
+        sizes = _bucket_sizes(rows).where("members > 1 AND alive")
+        full = stage(rows.join(sizes, "path").drop("alive"), "join-buckets")
         if met is None:
             # Few classes meet any other; only theirs are moved from here on.
             met = stage(
@@ -338,7 +377,12 @@ def candidate_edges(classes: DataFrame, similarity: float, recall: float) -> Dat
             )
             coded = stage(_coded(met), "join-codes")
         small = full.where(F.col("members") <= SMALL_BUCKET).select(
-            "path", F.lit(0).alias("i"), F.lit(0).alias("j"), "sid", "anchor"
+            "path",
+            F.lit(0).alias("i"),
+            F.lit(0).alias("j"),
+            "sid",
+            "anchor",
+            F.lit(0).alias("own"),
         )
         large = full.where(F.col("members") > SMALL_BUCKET)
         more = bool(large.take(1))
@@ -356,11 +400,12 @@ def candidate_edges(classes: DataFrame, similarity: float, recall: float) -> Dat
                     F.greatest("own", "other").alias("j"),
                     "sid",
                     "anchor",
+                    "own",
                 )
             )
         compared = (
             small.join(coded, "sid")
-            .select("path", "i", "j", "sid", "code", "anchor")
+            .select("path", "i", "j", "sid", "code", "anchor", "own")
             .repartition("path", "i", "j")
             .sortWithinPartitions("path", "i", "j")
         )

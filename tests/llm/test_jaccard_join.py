@@ -1,7 +1,9 @@
+import math
 import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 import __spark_entry__ as registry
 from galepost.llm import common
@@ -125,6 +127,54 @@ def test_runs_reach_the_recall():
     assert jj.runs_for(0.8, 0.9999) > jj.runs_for(0.8, 0.99) or jj.runs_for(0.8, 0.99) == 1
 
 
+def test_recall_counts_every_way_to_lose_a_pair():
+    runs, bound = jj.runs_for(0.8, 0.9999), jj.sketch_bound(0.8, 0.9999)
+    equal = 0.8 + 0.2 / 256
+    below = sum(
+        math.comb(jj.TOKENS, n) * equal**n * (1 - equal) ** (jj.TOKENS - n)
+        for n in range(round(bound * jj.TOKENS))
+    )
+    assert below + jj.missed_by_paths(0.8, runs) <= 1e-4
+    # One set of tokens for all runs: two runs miss more than the square of what one does.
+    assert jj.missed_by_paths(0.8, 2) > jj.missed_by_paths(0.8, 1) ** 2
+
+
+def bucket(rows):
+    names = ["path", "i", "j", "sid", "code", "anchor", "own"]
+    columns = [pa.array(c) for c in zip(*rows, strict=True)]
+    columns[3] = columns[3].cast(pa.binary())
+    columns[5] = columns[5].cast(pa.binary())
+    batch = pa.RecordBatch.from_arrays(columns, names=names)
+    return [
+        pair
+        for out in jj._bucket_edges(jj.sketch_bound(0.8, 0.9999))(iter([batch]))
+        for pair in zip(*(c.to_pylist() for c in out.columns), strict=True)
+    ]
+
+
+def test_classes_of_different_anchors_are_compared():
+    code, other = bytes(jj.TOKENS), bytes([1]) * jj.TOKENS
+    two = [(1, 0, 0, b"a", code, b"P", 0), (1, 0, 0, b"b", code, b"Q", 0)]
+    assert bucket(two) == [(b"a", b"b")]
+    same = [(1, 0, 0, b"a", code, b"P", 0), (1, 0, 0, b"b", code, b"P", 0)]
+    assert bucket(same) == []
+    apart = [(1, 0, 0, b"a", code, b"P", 0), (1, 0, 0, b"b", other, b"Q", 0)]
+    assert bucket(apart) == []
+    # Of two blocks, what one of them holds alone is named in its own turn.
+    blocks = [
+        (1, 0, 1, b"a", code, b"P", 0),
+        (1, 0, 1, b"b", code, b"Q", 0),
+        (1, 0, 1, b"c", code, b"R", 1),
+    ]
+    assert len(bucket(blocks)) == 1 and b"c" in bucket(blocks)[0]
+
+
+def test_buckets_of_several_anchors_stay(spark):
+    rows = [(1, b"P"), (1, b"Q"), (2, b"P"), (2, b"P"), (3, None), (3, b"P"), (4, None), (4, None)]
+    sizes = jj._bucket_sizes(spark.createDataFrame(rows, "path long, anchor binary"))
+    assert {r.path: r.alive for r in sizes.collect()} == {1: True, 2: False, 3: True, 4: True}
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)]
