@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -28,11 +29,28 @@ KINDS = ("assign", "access", "hex", "der", "ssh", "jwt", "pem")
 BASE_KINDS = KINDS[:3]
 
 # Encoded runs shorter than this hold no key.
-ENCODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-HEX_ANY = re.compile(r"[0-9A-Fa-f]{64,}")
+# An escaped line end before a run is no part of it.
+ENCODED = re.compile(r"(?:\\+[nr])*([A-Za-z0-9+/_-]{40,}={0,2})")
+HEX_ANY = re.compile(r"(?:\\+[nr])*([0-9A-Fa-f]{64,})")
+ESCAPED_END = re.compile(r"(?:\\+r)?\\+n|\\+r")
+_END = r"(?:(?:\\+r)?\\+n|[ \t]*\r?\n)[ \t]*"
+NEXT_ENCODED = re.compile(_END + r"([A-Za-z0-9+/_-]+={0,2})(?![A-Za-z0-9+/_=-])")
+NEXT_HEX = re.compile(_END + r"([0-9A-Fa-f]+)(?![0-9A-Za-z])")
+
+# How keys open: sequences of 128 bytes or more and the usual smaller keys, SSH names and magic.
+OPENING = re.compile(
+    r"MI[E-P]|MHcCAQEE|MC4CAQAw|MCowBQYDK2|MFkwEwYHKo|MFYwEAYHKo|MHYwEAYHKo"
+    r"|AAAA(?:[BC]3NzaC1|E2VjZHNh|GnNrLXNz)|b3BlbnNzaC1rZXktdjE"
+)
+HEX_OPENING = re.compile(
+    r"308[123]|30770201|302e0201|302a3005|30593013|30563010|30763010|000000..(?:7373682d|65636473|736b2d73)"
+    r"|6f70656e7373682d6b65792d7631",
+    re.IGNORECASE,
+)
+TOKEN_OPENING = re.compile("eyJ")
 SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]{16,}")
 ARMOUR = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----", re.ASCII
+    r"-----BEGIN ([A-Z0-9 ]+)-----((?:[A-Za-z0-9+/=\s:,-]|\\+[nr])*?)-----END \1-----", re.ASCII
 )
 
 # Names that open a key blob.
@@ -41,6 +59,8 @@ KEY_NAMES = (
     b"ecdsa-sha2-nistp521", b"sk-ssh-ed25519@openssh.com",
 )
 KEY_MAGIC = b"openssh-key-v1\0"
+# Fields of a public key blob by its name.
+KEY_FIELDS = dict(zip(KEY_NAMES, (3, 5, 2, 3, 3, 3, 3), strict=True))
 
 
 def unpack(text: str) -> bytes | None:
@@ -141,6 +161,83 @@ def _confirmed(data: bytes | None) -> str | None:
     return None
 
 
+def _key_size(data: bytes) -> int | None:
+    """Bytes of the key that opens the data, as its own lengths tell."""
+    if data[:1] == b"\x30":
+        width = data[1] & 0x7F if len(data) > 1 and data[1] >= 0x80 else 0
+        if len(data) < 2 + width:
+            return None
+        return 2 + width + (int.from_bytes(data[2 : 2 + width], "big") if width else data[1])
+    if data.startswith(KEY_MAGIC):
+        at, fields = len(KEY_MAGIC), 3
+    else:
+        at, fields = 0, KEY_FIELDS.get(data[4 : _field(data, 0) or 4], 0)
+    private = at > 0
+    while fields:
+        end = _field(data, at)
+        if end is None:
+            return None
+        at, fields = end, fields - 1
+        if private and not fields:
+            fields, private = int.from_bytes(data[at : at + 4], "big") + 1, False
+            at += 4
+    return at or None
+
+
+def _blocks(text: str, run: re.Pattern, following: re.Pattern) -> Iterator[list[tuple[int, int]]]:
+    """Places of the lines of each wrapped run: a shorter line is the last."""
+    at = 0
+    while m := run.search(text, at):
+        lines = [m.span(1)]
+        while text[lines[-1][1] - 1] != "=" and (m := following.match(text, lines[-1][1])):
+            size, before = m.end(1) - m.start(1), lines[-1][1] - lines[-1][0]
+            # The first line may be glued to a word or cut by its own start.
+            if size > before and len(lines) > 1:
+                break
+            lines.append(m.span(1))
+            if size < before and len(lines) > 2 or size < 40:
+                break
+        yield lines
+        at = lines[-1][1]
+
+
+def _opened(text: str, lines: list[tuple[int, int]], hexadecimal: bool) -> list[tuple[int, int, str]]:
+    """Keys that start at a known opening inside a wrapped or glued run, by their own length."""
+    joined = "".join(text[start:end] for start, end in lines)
+    offsets = [0]
+    for start, end in lines:
+        offsets.append(offsets[-1] + end - start)
+
+    def place(at: int) -> int:
+        line = bisect.bisect_right(offsets, at) - 1
+        return lines[line][0] + at - offsets[line]
+
+    def decoded(at: int, size: int) -> bytes | None:
+        if hexadecimal:
+            rest = joined[at : at + 2 * size]
+            return bytes.fromhex(rest[: len(rest) // 2 * 2])
+        rest = joined[at : at - (-size * 4 // 3)].rstrip("=")
+        return unpack(rest[: len(rest) - (len(rest) % 4 == 1)])
+
+    spans, at = [], 0
+    while m := (HEX_OPENING if hexadecimal else OPENING).search(joined, at):
+        at = m.start() + 1
+        # A sequence tells its length at once, so only that much is decoded.
+        sequence = m[0].startswith(("M", "30"))
+        data = decoded(m.start(), 8 if sequence else len(joined))
+        size = _key_size(data) if data else None
+        if size is not None and sequence:
+            data = decoded(m.start(), size)
+        if not data or size is None or size > len(data) or not (kind := _confirmed(data[:size])):
+            continue
+        at = m.start() + (size * 2 if hexadecimal else -(-size * 4 // 3))
+        end = place(at - 1) + 1
+        while not hexadecimal and text[end : end + 1] == "=":
+            end += 1
+        spans.append((place(m.start()), end, kind))
+    return spans
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """The plain candidates: leftmost and non-overlapping per kind, failing ones dropped."""
     spans = [
@@ -159,26 +256,54 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def structural_spans(text: str) -> list[tuple[int, int, str]]:
-    """Runs that decode to a key or a signed token."""
-    spans = []
-    for m in ENCODED.finditer(text):
-        if kind := _confirmed(unpack(m[0])):
-            spans.append((m.start(), m.end(), kind))
-    for m in HEX_ANY.finditer(text):
-        if (m.end() - m.start()) % 2 == 0 and (kind := _confirmed(bytes.fromhex(m[0]))):
-            spans.append((m.start(), m.end(), kind))
-    if "." in text:
-        spans += [
-            (m.start(), m.end(), "jwt") for m in SIGNED.finditer(text) if is_signed_token(m[0])
-        ]
+    """Runs that decode to a key or a signed token.
+
+    A run that is no key by itself is joined with the lines that go on with it, whose ends may
+    be escaped, and searched for the openings of keys.
+    """
+    armours = []
     if "-----BEGIN " in text:
         for m in ARMOUR.finditer(text):
             # Header lines of an encrypted block stand before a blank line.
-            body = re.split(r"\n\s*\n", m[2].strip())[-1]
+            lines = ESCAPED_END.sub("\n", m[2])
+            body = re.split(r"\n\s*\n", lines.strip())[-1]
             data = unpack(re.sub(r"\s", "", body))
-            if data and (_confirmed(data) or "ENCRYPTED" in m[2] and len(data) >= 24):
-                spans.append((m.start(), m.end(), "pem"))
-    return _ordered(set(spans))
+            if data and (_confirmed(data) or "ENCRYPTED" in lines and len(data) >= 24):
+                armours.append((m.start(), m.end(), "pem"))
+    spans = []
+    for run, following, hexadecimal in (
+        (ENCODED, NEXT_ENCODED, False),
+        (HEX_ANY, NEXT_HEX, True),
+    ):
+        for lines in _blocks(text, run, following):
+            alone = []
+            for start, end in lines:
+                if not run.fullmatch(text, start, end) or hexadecimal and (end - start) % 2:
+                    continue
+                part = text[start:end]
+                if kind := _confirmed(bytes.fromhex(part) if hexadecimal else unpack(part)):
+                    alone.append((start, end, kind))
+            spans += alone
+            held = armours + alone
+            if not any(a <= lines[0][0] and lines[-1][1] <= b for a, b, _ in held):
+                spans += [
+                    x
+                    for x in _opened(text, lines, hexadecimal)
+                    if not any(x[0] < b and a < x[1] for a, b, _ in held)
+                ]
+    if "." in text:
+        tokens = [
+            (m.start(), m.end(), "jwt") for m in SIGNED.finditer(text) if is_signed_token(m[0])
+        ]
+        done = 0
+        for m in TOKEN_OPENING.finditer(text):
+            token = SIGNED.match(text, m.start()) if m.start() >= done else None
+            if token and is_signed_token(token[0]):
+                done = token.end()
+                if not any(a <= m.start() < b for a, b, _ in tokens):
+                    tokens.append((*token.span(), "jwt"))
+        spans += tokens
+    return _ordered(set(spans + armours))
 
 
 def _ordered(spans) -> list[tuple[int, int, str]]:

@@ -53,6 +53,36 @@ def test_structures_are_confirmed():
     assert kinds(armoured) == ["pem"]
 
 
+LONG = der(integer(1), integer(100), der(integer(3), integer(100), integer(90)))
+
+
+def wrapped(data, width, end="\n"):
+    body = base64.b64encode(data).decode()
+    return end.join(body[i : i + width] for i in range(0, len(body), width))
+
+
+def test_wrapped_escaped_and_glued_keys_are_confirmed():
+    for end in ("\n", "\r\n", "\\n", "\\r\\n", "\\\\n"):
+        pem = f"-----BEGIN PRIVATE KEY-----{end}{wrapped(LONG, 64, end)}{end}-----END PRIVATE KEY-----"
+        assert ss.structural_spans(f'K="{pem}"') == [(3, 3 + len(pem), "pem")]
+        for width in (64, 76):
+            for data, kind in ((LONG, "der"), (PRIVATE, "ssh")):
+                body = wrapped(data, width, end)
+                for before in ("key: ", "key:" + end):
+                    text = f"{before}{body}{end}rest of it"
+                    (span,) = ss.structural_spans(text)
+                    assert span == (len(before), len(before) + len(body), kind)
+                    assert body not in ss.redacted(text)
+    for glue in ("/", "_", "-", "path/to/", "word_"):
+        for data, kind in ((LONG, "der"), (SSH, "ssh")):
+            body = base64.b64encode(data).decode()
+            at = len(glue) + 2
+            assert ss.structural_spans(f"x {glue}{body} y") == [(at, at + len(body), kind)]
+        assert kinds(f"x {glue}{TOKEN} y") == ["jwt"]
+    assert kinds(f"x abc{LONG.hex()} y") == ["der"]
+    assert kinds(wrapped(LONG[:-1], 64)) == []
+
+
 def test_look_alikes_are_not():
     broken = bytearray(KEY)
     broken[1] += 1
