@@ -21,6 +21,7 @@ from . import (
     secret_scan,
     token_records,
     url_filter,
+    whitening,
 )
 from .common import read_table
 
@@ -99,6 +100,10 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans.remove_repeats(read_table(tune(spark), sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(tune(spark), sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_quality": op1_line_quality,
     "op2_decontamination": op2_decontamination,
@@ -110,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_repeated_spans": op10_repeated_spans,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
