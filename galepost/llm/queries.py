@@ -13,6 +13,7 @@ from galepost.session import stage, tune
 from . import (
     byte_bpe,
     chat_format,
+    collocations,
     decontaminate,
     jaccard_join,
     language_id,
@@ -104,6 +105,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(tune(spark), sf_dir, "embeddings"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(read_table(tune(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_quality": op1_line_quality,
     "op2_decontamination": op2_decontamination,
@@ -116,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_repeated_spans": op10_repeated_spans,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -167,4 +173,54 @@ FROM counted LEFT JOIN fitting USING (n)
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op6_url_filter": _url_sql()}
+def _phrase_sql() -> str:
+    return f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")},
+                                      '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+listed AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda w: w <> '') AS w
+  FROM pieces),
+spans AS (
+  SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+  FROM listed, (VALUES (1), (2), (3), (4)) AS sizes(size)),
+grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM spans GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE size = 1 GROUP BY lang),
+often AS (
+  SELECT lang, size, phrase, f, string_split(phrase, ' ') AS w
+  FROM grams WHERE f >= {collocations.LEAST}),
+cuts AS (
+  SELECT lang, phrase, size, w, f AS a, unnest(range(1, size)) AS k FROM often WHERE size > 1),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+         ((2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cuts c
+  JOIN often x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN often y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+lowest AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+  SELECT * FROM lowest
+  WHERE NOT EXISTS (
+    SELECT 1 FROM often o
+    WHERE o.lang = lowest.lang AND o.phrase <> lowest.phrase
+      AND contains(' ' || o.phrase || ' ', ' ' || lowest.phrase || ' ')
+      AND 100::HUGEINT * o.f >= {collocations.COVERED}::HUGEINT * lowest.a)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN totals USING (lang)
+WHERE rank <= {collocations.TOP}
+"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_url_filter": _url_sql(),
+    "op13_phrase_collocations": _phrase_sql(),
+}
