@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from galepost.session import stage
 
 from .common import map_batches
-from .phrase_trie import PhraseTrie, Vocabulary, sequences
+from .phrase_trie import CODE_BITS, PhraseTrie, Vocabulary, sequences
 
 LEAST = 30
 LONGEST = 4
@@ -36,11 +37,13 @@ class Limits:
     They bound memory; results are the same for all."""
 
     read: int = 1 << 20
-    entries: int = 1_000_000
-    words: int = 1_000_000
+    entries: int = 600_000
+    words: int = 600_000
 
 
 LIMITS = Limits()
+# Rows of a sorted run, about.
+RUN_ROWS = 1 << 16
 
 # Bits of a bitmap of frequent phrases: 8 MB, whatever their number. A bitmap too full to
 # tell phrases apart lets all pass, so results never depend on it.
@@ -109,7 +112,7 @@ class _Counter:
 
     def renew(self) -> None:
         self.words = Vocabulary(None if self.known_words is None else self._frequent_word)
-        self.trie = PhraseTrie()
+        self.trie = PhraseTrie(max(self.sizes))
 
     def _frequent_word(self, digest: int) -> bool:
         place = (digest ^ self.salt) & (8 * len(self.known_words) - 1)
@@ -137,25 +140,48 @@ class _Counter:
         if self.read:
             codes, hashes = self.words.codes(np.concatenate(self.read))
             joined = self._frequent_pairs(hashes)
-            for size in self.sizes:
-                self.trie.add(*sequences(codes, joined, size))
+            self.trie.add(*sequences(codes, joined, self.sizes))
             self.read = []
 
     def runs(self, most: int) -> Iterator[pa.RecordBatch]:
         """Subtrees as sorted runs, until the trie holds ``most`` entries."""
-        words, hashes = self.words.words, self.words.hashes
-        for first, entries in self.trie.spill(most):
-            rows = []
-            for key, n in entries:
-                numbers = self.words.phrase(key)
-                # Those that end in different words may go to different parts, so a very
-                # common first word is not one task.
-                part = first << 8 | hashes[numbers[-1]] >> 8 & 255
-                rows.append((part, b" ".join([words[i] for i in numbers]), n))
-            rows.sort()
-            for start in range(0, len(rows), 1 << 16):
-                part, phrase, n = zip(*rows[start : start + (1 << 16)], strict=True)
-                yield _run(self.lang, part, phrase, n)
+        words = pa.array(self.words.words, pa.binary())
+        hashes = np.array(self.words.hashes, dtype=np.uint64)
+        waiting: list[tuple] = []
+        for entries in self.trie.spill(most):
+            waiting.append(entries)
+            if sum(len(e[0]) for e in waiting) >= RUN_ROWS:
+                yield from self._sorted_run(waiting, words, hashes)
+                waiting = []
+        if waiting:
+            yield from self._sorted_run(waiting, words, hashes)
+
+    def _sorted_run(self, entries: list[tuple], words, hashes) -> Iterator[pa.RecordBatch]:
+        low, high, counts = (np.concatenate(column) for column in zip(*entries, strict=True))
+        numbers = [
+            ((half >> np.uint64(shift)) & np.uint64(0xFFFFFFFF)).astype(np.int64) >> 8
+            for half in (low, high)
+            for shift in (0, CODE_BITS)
+        ]
+        for size in self.sizes:
+            mine = numbers[size - 1] > 0
+            if size < len(numbers):
+                mine &= numbers[size] == 0
+            if not mine.any():
+                continue
+            own = [number[mine] for number in numbers[:size]]
+            # Phrases that begin alike but end in different words may go to different parts,
+            # so a very common first word is not one task.
+            part = (hashes[own[0]] & np.uint64(255)) << np.uint64(8)
+            part |= (hashes[own[-1]] >> np.uint64(8)) & np.uint64(255)
+            mixed = np.zeros(len(part), dtype=np.uint64)
+            for number in own:
+                mixed = _turned(mixed) ^ hashes[number]
+            order = np.lexsort((mixed, part))
+            phrase = [words.take(pa.array(number[order])) for number in own]
+            if size > 1:
+                phrase = [pc.binary_join_element_wise(*phrase, b" ")]
+            yield _run(self.lang, part[order].astype(np.int32), phrase[0], counts[mine][order])
 
 
 def _run(lang: str, part, phrase, n) -> pa.RecordBatch:
@@ -212,7 +238,11 @@ def frequent_phrases(
         return count_runs(batches, sizes, limits, **{name: b.value for name, b in sent.items()})
 
     runs = map_batches(texts, run, "lang string, part int, phrase string, n long")
-    merged = runs.groupBy("lang", "part", "phrase").agg(F.sum("n").alias("n"))
+    merged = (
+        runs.repartition("lang", "part")
+        .groupBy("lang", "part", "phrase")
+        .agg(F.sum("n").alias("n"))
+    )
     return stage(
         merged.where((F.col("n") >= least) | (F.col("phrase") == "")).drop("part"),
         f"phrases-{sizes[-1]}",

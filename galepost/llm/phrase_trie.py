@@ -46,50 +46,67 @@ class Vocabulary(dict):
         hashes = np.array(self.hashes, dtype=np.uint64)[numbers]
         return (numbers.astype(np.uint64) << np.uint64(8)) | (hashes & np.uint64(255)), hashes
 
-    def phrase(self, key: int) -> list[int]:
-        """Numbers of the words of a sequence."""
-        out = []
-        while key:
-            out.append((key & 0xFFFFFFFF) >> 8)
-            key >>= CODE_BITS
-        return out
-
 
 class PhraseTrie:
-    def __init__(self, burst: int = BURST):
-        self.burst = burst
+    """Counts of sequences of at most ``longest`` words, four at most."""
+
+    def __init__(self, longest: int = 4, burst: int = BURST):
+        self.longest, self.burst = longest, burst
         self.root: list = [{} for _ in range(256)]
-        self.sizes = [0] * 256
 
     def __len__(self) -> int:
-        return sum(self.sizes)
+        return sum(map(_size, self.root))
 
     def add(self, keys: list[int], counts: list[int]) -> None:
-        root, sizes, burst = self.root, self.sizes, self.burst
+        root, burst = self.root, self.burst
         for key, count in zip(keys, counts, strict=True):
-            digit, rest, depth, holder = key & 255, key >> 8, 1, root
-            node = root[digit]
+            node, at, rest = root[key & 255], key & 255, key >> 8
+            holder, depth = root, 1
             while type(node) is list:
-                holder, node, at = node, node[rest & 255], rest & 255
-                rest >>= 8
-                depth += 1
-            before = len(node)
-            node[rest] = node.get(rest, 0) + count
-            if len(node) != before:
-                sizes[digit] += 1
-                if before >= burst and depth < DEPTH:
-                    holder[digit if depth == 1 else at] = _burst(node)
-
-    def spill(self, most: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+                holder, at = node, rest & 255
+                node, rest, depth = node[at], rest >> 8, depth + 1
+            if rest in node:
+                node[rest] += count
+            else:
+                node[rest] = count
+                if len(node) > burst and depth < DEPTH:
+                    holder[at] = _burst(node)
+
+    def spill(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Take whole subtrees of the root out, the largest first, until ``most`` entries are
-        left: the subtree's number and its (sequence, count) entries."""
-        left = len(self)
-        for digit in sorted(range(256), key=self.sizes.__getitem__, reverse=True):
-            if left <= most or not self.sizes[digit]:
+        left: low and high halves of their sequences, and the counts."""
+        sizes = [_size(node) for node in self.root]
+        left = sum(sizes)
+        for digit in sorted(range(256), key=sizes.__getitem__, reverse=True):
+            if left <= most or not sizes[digit]:
                 return
-            left -= self.sizes[digit]
-            node, self.root[digit], self.sizes[digit] = self.root[digit], {}, 0
-            yield digit, list(_entries(node, digit, 8))
+            left -= sizes[digit]
+            node, self.root[digit] = self.root[digit], {}
+            yield from self._entries(node, digit, 8)
+
+    def _entries(self, node, prefix: int, bits: int) -> Iterator[tuple]:
+        if type(node) is list:
+            for digit, child in enumerate(node):
+                if child:
+                    yield from self._entries(child, prefix | digit << bits, bits + 8)
+        elif node:
+            counts = np.fromiter(node.values(), np.int64, len(node))
+            if self.longest <= 2:
+                low = np.fromiter(node, np.uint64, len(node))
+                low = (low << np.uint64(bits)) | np.uint64(prefix)
+                yield low, np.zeros(len(low), np.uint64), counts
+            else:
+                keys = [key << bits | prefix for key in node]
+                low = np.array([key & _HALF for key in keys], dtype=np.uint64)
+                high = np.array([key >> 64 for key in keys], dtype=np.uint64)
+                yield low, high, counts
+
+
+_HALF = (1 << 64) - 1
+
+
+def _size(node) -> int:
+    return sum(map(_size, node)) if type(node) is list else len(node)
 
 
 def _burst(container: Container) -> list:
@@ -99,36 +116,45 @@ def _burst(container: Container) -> list:
     return children
 
 
-def _entries(node, prefix: int, bits: int) -> Iterator[tuple[int, int]]:
-    if type(node) is list:
-        for digit, child in enumerate(node):
-            yield from _entries(child, prefix | digit << bits, bits + 8)
-    else:
-        for key, count in node.items():
-            yield prefix | key << bits, count
-
-
-def sequences(codes: np.ndarray, joined: np.ndarray, size: int) -> tuple[list[int], list[int]]:
-    """The distinct sequences of ``size`` words in a row of codes, and their counts.
+def sequences(
+    codes: np.ndarray, joined: np.ndarray, sizes: tuple[int, ...]
+) -> tuple[list[int], list[int]]:
+    """The distinct sequences of ``sizes`` words in a row of codes, and their counts.
 
     A sequence holds no code 0, and ``joined`` is true between each two of its words.
     """
-    usable = codes != 0
-    if len(codes) < size:
-        return [], []
-    whole = usable[: len(codes) - size + 1].copy()
-    for i in range(1, size):
-        whole &= usable[i : len(codes) - size + 1 + i]
-        whole &= joined[i - 1 : len(codes) - size + i]
-    places = np.flatnonzero(whole)
-    if not len(places):
-        return [], []
+    keys: list[int] = []
+    counts: list[int] = []
+    places = np.flatnonzero(codes)
+    low = high = np.zeros(0, dtype=np.uint64)
     # Number the distinct beginnings, a word longer at a time.
-    distinct, inverse, counts = np.unique(codes[places], return_inverse=True, return_counts=True)
-    keys = distinct.astype(object)
-    for i in range(1, size):
-        pair = (inverse.astype(np.uint64) << np.uint64(CODE_BITS)) | codes[places + i]
-        distinct, inverse, counts = np.unique(pair, return_inverse=True, return_counts=True)
-        last = (distinct & np.uint64(0xFFFFFFFF)).astype(object)
-        keys = keys[(distinct >> np.uint64(CODE_BITS)).astype(np.int64)] + last * (1 << CODE_BITS * i)
-    return keys.tolist(), counts.tolist()
+    for i in range(max(sizes)):
+        if i:
+            goes_on = places + i < len(codes)
+            places, inverse = places[goes_on], inverse[goes_on]
+            goes_on = (codes[places + i] != 0) & joined[places + i - 1]
+            places, inverse = places[goes_on], inverse[goes_on]
+            pair = (inverse.astype(np.uint64) << np.uint64(CODE_BITS)) | codes[places + i]
+        else:
+            pair = codes[places]
+        if not len(places):
+            break
+        distinct, inverse, n = np.unique(pair, return_inverse=True, return_counts=True)
+        last = distinct & np.uint64(0xFFFFFFFF)
+        before = (distinct >> np.uint64(CODE_BITS)).astype(np.int64)
+        if i == 0:
+            low, high = last, np.zeros(len(last), dtype=np.uint64)
+        elif i == 1:
+            low, high = low[before] | last << np.uint64(CODE_BITS), high[before]
+        else:
+            low, high = low[before], high[before] | last << np.uint64(CODE_BITS * (i - 2))
+        if i + 1 in sizes:
+            # Those of one container after each other, which is kinder to the caches.
+            order = np.argsort(low.astype(np.uint16), kind="stable")
+            if i < 2:
+                keys += low[order].tolist()
+            else:
+                halves = zip(low[order].tolist(), high[order].tolist(), strict=True)
+                keys += [a | b << 64 for a, b in halves]
+            counts += n[order].tolist()
+    return keys, counts

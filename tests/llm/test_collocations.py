@@ -101,36 +101,52 @@ def test_bitmap_holds_words_and_pairs(spark):
     assert counter._frequent_pairs(hashes).tolist() == [True, False]
 
 
-def test_trie_bursts_and_spills():
+@pytest.mark.parametrize("longest", [2, 4])
+def test_trie_bursts_and_spills(longest):
     rng = random.Random(4)
-    trie, want = PhraseTrie(burst=16), Counter()
+    trie, want = PhraseTrie(longest, burst=16), Counter()
     for _ in range(30):
-        keys = [rng.randrange(1, 5000) << rng.choice([0, 0, 32, 70]) | rng.randrange(1, 4000) for _ in range(200)]
+        keys = [
+            rng.randrange(1, 5000) << rng.choice([0, 0, 32, 32 * (longest - 1)]) | rng.randrange(1, 4000)
+            for _ in range(200)
+        ]
         counts = [rng.randint(1, 5) for _ in keys]
         trie.add(keys, counts)
         for key, n in zip(keys, counts, strict=True):
             want[key] += n
     assert any(type(node) is list for node in trie.root) and len(trie) == len(want)
-    got = Counter()
-    size = len(trie)
+    got, size = Counter(), len(trie)
     for most in (size // 2, 0):
-        for digit, entries in trie.spill(most):
-            assert all(key & 255 == digit for key, _ in entries)
-            got.update(dict(entries))
+        for low, high, counts in trie.spill(most):
+            assert len(set((low & np.uint64(255)).tolist())) == 1
+            for a, b, n in zip(low.tolist(), high.tolist(), counts.tolist(), strict=True):
+                got[a | b << 64] += n
         assert len(trie) <= most
     assert got == want
 
 
 def test_sequences():
     words = Vocabulary()
-    tokens = co.words_of(b"a b a b. c a b")
+    tokens = co.words_of(b"a b a b. c a b a c")
     codes, _ = words.codes(np.array([words[t] for t in tokens]))
     joined = np.ones(len(codes) - 1, bool)
     joined[0] = False
-    keys, counts = sequences(codes, joined, 2)
-    named = {b" ".join(words.words[i] for i in words.phrase(k)): n for k, n in zip(keys, counts, strict=True)}
-    assert named == {b"a b": 2, b"b a": 1, b"c a": 1}
-    assert sequences(codes[:1], joined[:0], 2) == ([], [])
+
+    def named(*sizes):
+        out = {}
+        for key, n in zip(*sequences(codes, joined, sizes), strict=True):
+            shifts = [s for s in (0, 32, 64, 96) if key >> s]
+            phrase = b" ".join(words.words[(key >> s & 0xFFFFFFFF) >> 8] for s in shifts)
+            assert phrase not in out
+            out[phrase] = n
+        return out
+
+    assert named(1) == {b"a": 4, b"b": 3, b"c": 2}
+    assert named(2) == {b"a b": 2, b"b a": 2, b"c a": 1, b"a c": 1}
+    assert named(3, 4) == {
+        b"b a b": 1, b"c a b": 1, b"a b a": 1, b"b a c": 1, b"c a b a": 1, b"a b a c": 1,
+    }
+    assert sequences(codes[:1], joined[:0], (2,)) == ([], [])
 
 
 def test_query(spark):
