@@ -20,6 +20,7 @@ from . import (
     line_quality,
     repeated_spans,
     secret_scan,
+    simhash,
     token_records,
     url_filter,
     whitening,
@@ -105,6 +106,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(tune(spark), sf_dir, "embeddings"))
 
 
+def op12_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.link_fingerprints(read_table(tune(spark), sf_dir, "documents"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine_phrases(read_table(tune(spark), sf_dir, "documents"))
 
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_repeated_spans": op10_repeated_spans,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_simhash_tiles": op12_simhash_tiles,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 
