@@ -352,7 +352,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda m: marts.customer_orders(m.stg["orders"], m.stg["customers"])
         ),
         "order_origin_dest": order_origin_dest,
-        "interval_join_explode": _interval_join("explode"),
+        "interval_join_explode": _interval_join("auto"),
         "interval_join_range": _interval_join("range"),
         "fact_delivery_weather": _model(Models.fact_plan),
         "customer_address_lag": customer_address_lag,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from galepost.session import stage
@@ -24,108 +24,105 @@ def group_mode(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
-# Sides of the cells that values are counted in, one round after the other.
-CELLS = (2.0**-10, 2.0**-26)
+# Of the sketch that brackets a median; its rank error is this share of a group at most.
+ACCURACY = 10_000
+# How far the bracket reaches to both sides, in errors of the sketch.
+REACH = 4
 
 
 def group_median(
-    df: DataFrame, key: str, values: list[str], cells: tuple[float, ...] = CELLS
+    df: DataFrame, key: str, values: list[str], accuracy: int = ACCURACY, reach: float = REACH
 ) -> DataFrame:
     """Row count and exact interpolated median of each value column per key.
 
     The built-in aggregate holds all values of a group in one buffer; here no task ever
-    holds a group, whatever its size. All columns are narrowed down together.
+    does, whatever the group's size. One pass merges a sketch of bounded size per key, which
+    brackets the middle; the other counts what lies below the bracket, and the few different
+    values inside. Should a bracket miss, that key's whole range is counted. NaN ranks above
+    every number, NULL is no value.
     """
-    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
-    measures = F.array(
-        *(
-            F.struct(F.lit(position).alias("measure"), F.col(value).cast("double").alias("v"))
-            for position, value in enumerate(values)
-        )
+    near = reach / accuracy
+    ends = [max(0.0, 0.5 - near), min(1.0, 0.5 + near)]
+    bounds = stage(
+        df.groupBy(F.struct(F.col(key).alias("key")).alias("_k")).agg(
+            F.count(F.lit(1)).alias("row_count"),
+            *(F.count(value).alias(f"_n{i}") for i, value in enumerate(values)),
+            *(
+                F.percentile_approx(_number(F.col(value)), ends, accuracy).alias(f"_b{i}")
+                for i, value in enumerate(values)
+            ),
+        ),
+        "median-bounds",
     )
-    present = stage(
-        df.select(F.col(key).alias("_key"), F.explode(measures).alias("m"))
-        .filter("m.v is not null")
-        .select(F.struct("_key", "m.measure").alias("_k"), F.col("m.v").alias("_v")),
-        "median-values",
-    )
-    middle = _middle(present, cells)
-    wide = middle.groupBy(F.col("_k._key").alias("_key")).agg(
-        *(
-            F.max(F.when(F.col("_k.measure") == position, F.col("median"))).alias(value)
-            for position, value in enumerate(values)
+    found = stage(_middle(df, key, values, bounds), "medians")
+    missed = F.lit(False)
+    for i in range(len(values)):
+        missed = missed | ((F.col(f"_n{i}") > 0) & F.col(f"_m{i}").isNull())
+    if not found.filter(missed).isEmpty():
+        everything = F.array(F.lit(float("-inf")), F.lit(float("inf")))
+        open_bounds = found.filter(missed).select(
+            "_k",
+            "row_count",
+            *(f"_n{i}" for i in range(len(values))),
+            *(everything.alias(f"_b{i}") for i in range(len(values))),
         )
+        again = _middle(df, key, values, stage(open_bounds, "median-misses"))
+        found = found.filter(~missed).unionByName(again)
+    return found.select(
+        F.col("_k.key").alias(key),
+        "row_count",
+        *(F.col(f"_m{i}").alias(value) for i, value in enumerate(values)),
     )
-    return rows.join(wide, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
-def _middle(present: DataFrame, cells: tuple[float, ...]) -> DataFrame:
-    """Exact median of ``_v`` per ``_k`` by narrowing.
+def _number(value: Column) -> Column:
+    """A double that orders as the value does; sketches do not order NaN."""
+    number = value.cast("double")
+    return F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number)
 
-    Values are counted by cell, the cells holding the two middle ranks are kept, and
-    the next round looks only inside those with finer cells. The last round ranks the
-    distinct values left over. Each step aggregates by (key, cell), which spreads a
-    single hot key over many tasks.
-    """
-    totals = present.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per middle rank; both are the same for an odd count.
-    wanted = totals.select(
-        "_k",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("side"), F.expr("(_n - 1) div 2").alias("rank")),
-                F.struct(F.lit(1).alias("side"), F.expr("_n div 2").alias("rank")),
+
+def _middle(df: DataFrame, key: str, values: list[str], bounds: DataFrame) -> DataFrame:
+    """``bounds`` with the medians ``_m0``, ...; NULL where a bracket does not hold it."""
+    measures = F.array(
+        *(
+            F.struct(
+                F.lit(i).alias("measure"),
+                F.col(value).cast("double").alias("v"),
+                F.col(f"_n{i}").alias("n"),
+                F.col(f"_b{i}")[0].alias("low"),
+                F.col(f"_b{i}")[1].alias("high"),
             )
-        ).alias("w"),
-    ).select("_k", "w.side", "w.rank", F.lit(None).cast("double").alias("_cell"))
-    inside = present.withColumn("_cell", F.lit(None).cast("double"))
-    for size in cells:
-        # NaN ranks above every number.
-        cell = (
-            F.when(F.isnan("_v"), F.lit(float("nan")))
-            .otherwise(F.floor(F.col("_v") / F.lit(size)).cast("double"))
-        )
-        wanted = _locate(inside, wanted, cell)
-        hit = wanted.select(F.col("_k").alias("_tk"), F.col("_cell").alias("_tc")).distinct()
-        inside = inside.withColumn("_cell", cell).join(
-            hit,
-            F.col("_k").eqNullSafe(F.col("_tk")) & (F.col("_cell") == F.col("_tc")),
-            "left_semi",
+            for i, value in enumerate(values)
         )
-    exact = _locate(inside, wanted, F.col("_v"))
-    return exact.groupBy("_k").agg(
-        (F.min_by("_cell", "side") * 0.5 + F.max_by("_cell", "side") * 0.5).alias("median")
     )
-
-
-def _locate(inside: DataFrame, wanted: DataFrame, cell) -> DataFrame:
-    """Find the finer cell that holds each wanted rank, and the rank inside it.
-
-    ``inside`` holds the values of the current cells, ``wanted`` the ranks within them.
-    """
-    histogram = (
-        inside.select("_k", F.col("_cell").alias("_in"), cell.alias("_cell"))
-        .groupBy("_k", "_in", "_cell")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    counted = (
+        df.select(F.struct(F.col(key).alias("key")).alias("_k"), *values)
+        .join(bounds.drop("row_count"), "_k")
+        .select("_k", F.inline(measures))
+        .filter(F.col("v").isNotNull() & (_number(F.col("v")) <= F.col("high")))
+        # NULL stands for all that lies below.
+        .withColumn("v", F.when(_number(F.col("v")) >= F.col("low"), F.col("v")))
+        .groupBy("_k", "measure", "n", "v")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
     so_far = (
-        Window.partitionBy("_k", "_in")
-        .orderBy("_cell")
+        Window.partitionBy("_k", "measure")
+        .orderBy(F.asc_nulls_first("v"))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = histogram.withColumn("_end", F.sum("_n").over(so_far))
-    asked = wanted.select(
-        F.col("_k").alias("_wk"), F.col("_cell").alias("_wc"), "side", "rank"
-    )
-    return ranked.join(
-        asked,
-        F.col("_k").eqNullSafe(F.col("_wk"))
-        & F.col("_in").eqNullSafe(F.col("_wc"))
-        & (F.col("rank") < F.col("_end"))
-        & (F.col("rank") >= F.col("_end") - F.col("_n")),
-    ).select(
-        "_k", "side", (F.col("rank") - (F.col("_end") - F.col("_n"))).alias("rank"), "_cell"
+    ranked = counted.withColumn("end", F.sum("rows").over(so_far))
+
+    def at(rank: str, measure: int) -> Column:
+        holds = f"measure = {measure} and {rank} < end and {rank} >= end - rows"
+        return F.max(F.when(F.expr(holds), F.col("v")))
+
+    medians = ranked.groupBy("_k").agg(
+        *(
+            (at("(n - 1) div 2", i) * 0.5 + at("n div 2", i) * 0.5).alias(f"_m{i}")
+            for i in range(len(values))
+        )
     )
+    return bounds.join(medians, "_k", "left").drop(*(f"_b{i}" for i in range(len(values))))
 
 
 def group_median_sketch(df: DataFrame, key: str, values: list[str], accuracy: int = 10_000):

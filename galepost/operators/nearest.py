@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from galepost.functions.geo import (
-    box_distance_floor_km,
-    box_floor_sql,
-    distance_km,
-    distance_sql,
-)
+from galepost.functions.geo import box_floor_sql, distance_km, distance_sql
 from galepost.session import stage
 
 # Sides of the nested search cells in degrees, each an eighth of the one before. The
-# coarsest grid bounds the number of cells every position starts from. How many of the grids
-# are used depends on the targets: cells are split until none of the last grid holds more
-# than LEAF_POINTS of them.
+# coarsest grid bounds the number of cells every position starts from. A cell with more than
+# LEAF_POINTS targets is split, whatever the others do, so a crowd is searched finely and a
+# plain is not.
 CELL_DEGREES = tuple(8.0**power for power in range(1, -7, -1))
 LEAF_POINTS = 32
 # Slack for floating point and for ranking on distances rounded to the millimetre.
@@ -35,14 +32,22 @@ def _wrapped(lng: Column) -> Column:
     return F.when(inside, lng).otherwise(F.pmod(lng + 180.0, F.lit(360.0)) - 180.0)
 
 
-def _search_tree(targets: DataFrame, degrees: tuple[float, ...]) -> DataFrame:
-    """Every occupied cell of every grid: its parent cell, bounding box and one member."""
+def _paths(degrees: tuple[float, ...]) -> str:
+    """A target's cells in all grids, as rows."""
     steps = ", ".join(
         f"struct({level} as level, {_cell(parent)} as parent, {_cell(child)} as child)"
         for level, (parent, child) in enumerate(zip((degrees[0], *degrees), degrees))
     )
-    return (
-        targets.select("t_lat", "t_lng", F.expr(f"inline(array({steps}))"))
+    return f"inline(array({steps}))"
+
+
+def _search_tree(
+    targets: DataFrame, degrees: tuple[float, ...], leaf_points: int
+) -> DataFrame:
+    """The cells of a tree of uneven depth: parent cell, bounding box, one member, and whether
+    it is a leaf. Of each grid but the coarsest there are the cells whose parent is split."""
+    cells = (
+        targets.select("t_lat", "t_lng", F.expr(_paths(degrees)))
         .groupBy("level", "parent", "child")
         .agg(
             F.min("t_lat").alias("south"),
@@ -53,13 +58,39 @@ def _search_tree(targets: DataFrame, degrees: tuple[float, ...]) -> DataFrame:
             F.count(F.lit(1)).alias("points"),
         )
     )
+    # A cell has 64 children at most.
+    in_parent = F.sum("points").over(Window.partitionBy("level", "parent"))
+    is_leaf = (F.col("points") <= leaf_points) | (F.col("level") == len(degrees) - 1)
+    return (
+        cells.withColumn("_in_parent", in_parent)
+        .filter((F.col("level") == 0) | (F.col("_in_parent") > leaf_points))
+        .select("level", "parent", "child", is_leaf.alias("is_leaf"), *BOX)
+    )
 
 
-def _grids(tree: DataFrame, degrees: tuple[float, ...], leaf_points: int) -> int:
-    """How many grids it takes until no cell holds more than ``leaf_points``, or all."""
-    fullest = tree.groupBy("level").agg(F.max("points").alias("points")).collect()
-    enough = [row["level"] for row in fullest if row["points"] <= leaf_points]
-    return min(enough, default=len(degrees) - 1) + 1
+# What a cell in ``nodes`` offers a position: no target of it is nearer than floor_km, and one
+# lies at reached_km.
+_SIDES = [f"n.{side}" for side in BOX]
+_SCORED = f"""transform(nodes, n -> struct(
+    n.child as child,
+    n.is_leaf as is_leaf,
+    {box_floor_sql("p_lat", "p_lng", *_SIDES[:4])} as floor_km,
+    {distance_sql("p_lat", "p_lng", "n.south", "n.south_lng")} as reached_km))"""
+_WITHIN = f"floor_km <= best_km + {SLACK_KM}D"
+_NODE = ("child", "is_leaf", *BOX)
+
+
+def _survivors(opened: DataFrame) -> DataFrame:
+    """The cells of ``nodes`` that can still beat the best distance reached in them or before."""
+    return (
+        opened.withColumn("nodes", F.expr(_SCORED))
+        .withColumn(
+            "best_km",
+            F.least("best_km", F.expr("array_min(transform(nodes, n -> n.reached_km))")),
+        )
+        .select("p_lat", "p_lng", "best_km", F.expr(f"inline(filter(nodes, n -> n.{_WITHIN}))"))
+        .drop("reached_km")
+    )
 
 
 def nearest_join(
@@ -79,14 +110,15 @@ def nearest_join(
     without a point gets the smallest id and a NULL distance; without right rows nothing
     comes out.
 
-    The search runs once per distinct left position and descends through nested cells.
-    At each level the surviving cells are split into their occupied children. A child's
-    box gives the least distance it can offer, one of its points a distance that is
-    certainly reached, and children that cannot beat the best reached one are dropped.
-    The coarsest level is pruned inside the row, before anything is exploded.
+    The search runs once per distinct left position and descends through nested cells, split
+    where they are crowded. At each level the surviving cells are opened. A child's box gives
+    the least distance it can offer, one of its points a distance that is certainly reached,
+    and children that cannot beat the best reached one are dropped, inside the row as far as
+    they are of one parent. A position leaves the descent at its leaves; only what lies near
+    a crowd goes on to the next level.
 
-    The distinct right points and their cells are written once, since every level reads
-    them while ``right`` may be a long daily history.
+    The distinct right points and the tree are written once, since every level reads them
+    while ``right`` may be a long daily history, and so are the cells that survive a level.
     """
     point = F.col(right_point)
     targets = stage(
@@ -100,7 +132,7 @@ def nearest_join(
         "nearest-points",
     )
     members = targets.filter("t_lat is not null and t_lng is not null")
-    tree = stage(_search_tree(members, cell_degrees), "nearest-cells")
+    tree = stage(_search_tree(members, cell_degrees, leaf_points), "nearest-cells")
     positions = (
         left.filter(F.col(left_point).isNotNull())
         .select(
@@ -109,41 +141,36 @@ def nearest_join(
         .distinct()
     )
     position = Window.partitionBy("p_lat", "p_lng")
-    floor_km = box_distance_floor_km("p_lat", "p_lng", *BOX[:4]).alias("floor_km")
-    reached_km = distance_km("p_lat", "p_lng", "south", "south_lng")
-    best_km = F.min(reached_km).over(position).alias("best_km")
-
-    def survivors(opened: DataFrame) -> DataFrame:
-        scored = opened.select("p_lat", "p_lng", "child", floor_km, best_km)
-        return scored.filter(F.expr(f"floor_km <= best_km + {SLACK_KM}D")).select(
-            "p_lat", "p_lng", F.col("child").alias("parent")
-        )
-
     # The occupied coarse cells: at most 24 x 45 with the default grids.
-    coarse = tree.filter("level = 0").agg(F.collect_list(F.struct("child", *BOX))).scalar()
-    box = [f"n.{side}" for side in BOX]
-    scored = f"""transform(coarse, n -> struct(
-        n.child as child,
-        {box_floor_sql("p_lat", "p_lng", *box[:4])} as floor_km,
-        {distance_sql("p_lat", "p_lng", "n.south", "n.south_lng")} as reached_km))"""
-    cells = (
-        positions.withColumn("coarse", coarse)
-        .withColumn("coarse", F.expr(scored))
-        .withColumn("best_km", F.expr("array_min(transform(coarse, n -> n.reached_km))"))
-        .withColumn(
-            "coarse", F.expr(f"filter(coarse, n -> n.floor_km <= best_km + {SLACK_KM}D)")
+    coarse = tree.filter("level = 0").agg(F.collect_list(F.struct(*_NODE))).scalar()
+    deepest = tree.agg(F.max("level")).first()[0] or 0
+    opened = positions.withColumns({"best_km": F.lit(float("inf")), "nodes": coarse})
+    cells = _survivors(opened)
+    reached_leaves = []
+    for level in range(1, deepest + 1):
+        cells = stage(cells, "nearest-survivors")
+        reached_leaves.append(cells.filter("is_leaf").withColumn("level", F.lit(level - 1)))
+        children = (
+            tree.filter(F.col("level") == level)
+            .groupBy(F.col("parent").alias("_parent"))
+            .agg(F.collect_list(F.struct(*_NODE)).alias("nodes"))
+        )
+        opened = cells.filter("not is_leaf").join(children, F.col("child") == F.col("_parent"))
+        cells = (
+            _survivors(opened.select("p_lat", "p_lng", "best_km", "nodes"))
+            .withColumn("best_km", F.min("best_km").over(position))
+            .filter(_WITHIN)
         )
-        .select("p_lat", "p_lng", F.explode("coarse.child").alias("parent"))
+    reached_leaves.append(cells.withColumn("level", F.lit(deepest)))
+    leaves = members.select("*", F.expr(_paths(cell_degrees))).join(
+        tree.filter("is_leaf").select("level", "parent", "child"), ["level", "parent", "child"]
     )
-    grids = _grids(tree, cell_degrees, leaf_points)
-    for level in range(1, grids):
-        children = tree.filter(f"level = {level}").select("parent", "child", *BOX)
-        cells = survivors(cells.join(children, "parent"))
-    leaves = members.withColumn("parent", F.expr(_cell(cell_degrees[grids - 1])))
     km = distance_km("p_lat", "p_lng", "t_lat", "t_lng")
     nearest = F.struct(km.alias("km"), F.isnull("t_id").alias("no_id"), "t_id")
     closest = (
-        cells.join(leaves, "parent")
+        reduce(DataFrame.unionByName, reached_leaves)
+        .select("p_lat", "p_lng", "level", "child")
+        .join(leaves.select("level", "child", "t_lat", "t_lng", "t_id"), ["level", "child"])
         .groupBy("p_lat", "p_lng")
         .agg(F.min(nearest).alias("closest"))
     )

@@ -100,13 +100,13 @@ def fact_delivery_weather(
     sellers: DataFrame,
     bridge: DataFrame,
     weather: DataFrame,
-    strategy: str = "explode",
+    strategy: str = "auto",
 ) -> DataFrame:
     """One row per order with the weather at both ends during its delivery window.
 
     Weather depends only on station and window, so both roles' windows are pooled and
-    summarised once. The located orders are written once, because the pooling and the
-    final result both read them.
+    summarised once. The located orders and the summary are written once, because both are
+    read more than once.
     """
     located = stage(
         orders_with_stations(orders, order_items, customers, sellers, bridge), "located-orders"
@@ -117,15 +117,18 @@ def fact_delivery_weather(
         "window_from",
         "window_to",
     )
-    summary = aggregate_windows(
-        windows,
-        weather,
-        "station_id",
-        "window_from",
-        "window_to",
-        "weather_date",
-        WEATHER_AGGS,
-        strategy,
+    summary = stage(
+        aggregate_windows(
+            windows,
+            weather,
+            "station_id",
+            "window_from",
+            "window_to",
+            "weather_date",
+            WEATHER_AGGS,
+            strategy,
+        ),
+        "window-summary",
     )
     for role in roles:
         located = attach_windows(

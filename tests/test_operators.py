@@ -57,6 +57,7 @@ def test_median_agrees_with_brute_force(spark):
         "wide": [chance.uniform(-180, 180) for _ in range(2000)],
         "tight": [-46.6 + chance.random() * 1e-9 for _ in range(2000)],
         None: [chance.uniform(0, 1) for _ in range(100)],
+        "endless": [float("-inf")] * 5 + [1.0] * 3 + [float("inf")] * 2,
     }
     expected = {}
     for key, values in groups.items():
@@ -64,9 +65,21 @@ def test_median_agrees_with_brute_force(spark):
         middle = [known[(len(known) - 1) // 2], known[len(known) // 2]] if known else None
         expected[key] = (len(values), 0.5 * middle[0] + 0.5 * middle[1] if known else None)
     df = ping_frame(spark, groups)
-    for cells in (centroid.CELLS, (16.0,), ()):
-        got = {k: (n, v) for k, n, v in rows(centroid.group_median(df, "k", ["v"], cells))}
-        assert got == expected, cells
+    # The last two sketches are so coarse, and their brackets so narrow, that some miss.
+    for accuracy, reach in ((centroid.ACCURACY, centroid.REACH), (50, 1), (10, 0.1), (2, 0.0)):
+        medians = centroid.group_median(df, "k", ["v"], accuracy, reach)
+        assert {k: (n, v) for k, n, v in rows(medians)} == expected, accuracy
+
+
+def test_median_ranks_nan_last(spark):
+    nan, inf = float("nan"), float("inf")
+    df = ping_frame(spark, {"a": [1.0, nan, nan, inf], "b": [nan, 2.0, 1.0], "c": [inf, nan]})
+    for reach in (centroid.REACH, 0.0):
+        got = {k: v for k, _, v in rows(centroid.group_median(df, "k", ["v"], 10, reach))}
+        assert math.isnan(got["a"]) and got["b"] == 2.0 and math.isnan(got["c"])
+    two = df.selectExpr("k", "v", "case when k = 'b' then v end as w")
+    got = {k: (n, w) for k, n, _, w in rows(centroid.group_median(two, "k", ["v", "w"]))}
+    assert got == {"a": (4, None), "b": (3, 2.0), "c": (2, None)}
 
 
 def test_sketch_median_returns_an_element(spark):
@@ -128,6 +141,35 @@ def test_nearest_equals_brute_force(spark, left_kind, right_kind):
         assert brute_km(position, dict(right)[found]) <= km + 2e-4
 
 
+def test_a_crowd_does_not_deepen_the_other_cells(spark):
+    """Two targets a metre apart among many others; elsewhere cells stay as they are."""
+    chance = random.Random(3)
+    town = [(f"t{i}", (-46.6 + chance.random() * 1e-3, -23.5 + chance.random() * 1e-3)) for i in range(80)]
+    town += [("m0", (-46.6, -23.5)), ("m1", (-46.6, -23.50001))]
+    plain = [(f"p{i}", (chance.uniform(-60, -30), chance.uniform(-30, 5))) for i in range(60)]
+    targets = spark.createDataFrame(
+        [(*at[::-1],) for _, at in town + plain], "t_lat double, t_lng double"
+    )
+    tree = nearest._search_tree(targets, nearest.CELL_DEGREES, 8).collect()
+    deep = [c for c in tree if c.level > 2]
+    assert deep and all(-23.51 < c.south and c.north < -23.49 for c in deep)
+    assert sum(c.is_leaf for c in tree if c.level < 2) > 8
+    left = [(i, (chance.uniform(-60, -30), chance.uniform(-30, 5))) for i in range(60)]
+    left += [(100 + i, (-46.6 + chance.random() * 1e-3, -23.5 + chance.random() * 1e-3)) for i in range(60)]
+    schema = "id string, at struct<lng:double, lat:double>"
+    got = nearest.nearest_join(
+        spark.createDataFrame(left, "k int, point struct<lng:double, lat:double>"),
+        spark.createDataFrame(town + plain, schema),
+        "point", "id", "at", "nearest_id", "km", leaf_points=8,
+    )
+    other = nearest.nearest_join(
+        spark.createDataFrame(left, "k int, point struct<lng:double, lat:double>"),
+        spark.createDataFrame(town + plain, schema),
+        "point", "id", "at", "nearest_id", "km", leaf_points=1000,
+    )
+    assert len(rows(got)) == 120 and Counter(rows(got)) == Counter(rows(other))
+
+
 def test_nearest_ties_nulls_and_far_away(spark):
     right = [("b", (0.0, 1.0)), ("a", (0.0, -1.0)), ("c", (0.0, -1.0)), ("z", None)]
     left = [("tie", (0.0, 0.0)), ("void", None), ("far", (40.0, 100.0)), ("twin", (0.0, 0.0))]
@@ -145,7 +187,7 @@ def test_nearest_ties_nulls_and_far_away(spark):
 AGGS = {"top": ("max", "rain"), "low": ("min", "rain"), "any_bad": ("any", "bad")}
 
 
-@pytest.mark.parametrize("strategy", ["explode", "range"])
+@pytest.mark.parametrize("strategy", ["auto", "doubling", "explode", "range"])
 def test_interval_join_equals_brute_force(spark, strategy):
     chance = random.Random(11)
     start = date(2018, 1, 1)
@@ -154,6 +196,9 @@ def test_interval_join_equals_brute_force(spark, strategy):
          chance.choice([None, float(chance.randrange(50))]), chance.choice([None, True, False]))
         for _ in range(150)
     ]
+    # Long gaps, one a day shorter and one a day longer than the longest span.
+    for later in (315, 571, 828, 1700):
+        facts.append((chance.choice(["s0", "s1"]), start + timedelta(later), 60.0 + later, later < 800))
     left = [
         (i, chance.choice(["s0", "s1", "s2", "s3", "none", None]),
          start + timedelta(chance.randrange(-5, 65)), chance.randrange(-3, 20))
@@ -161,6 +206,13 @@ def test_interval_join_equals_brute_force(spark, strategy):
     ]
     left = [(i, s, lo, lo + timedelta(n)) for i, s, lo, n in left]
     left += [(900, "s1", start, date(9999, 12, 31)), (901, "s1", start, None)]
+    left += [
+        (1000 + i, chance.choice(["s0", "s1", "s2"]), start + timedelta(a), start + timedelta(a + n))
+        for i, (a, n) in enumerate(
+            (chance.randrange(1700), chance.choice([0, 1, 3, 7, 127, 254, 255, 256, 257, 511, 900]))
+            for _ in range(150)
+        )
+    ]
     got = {
         r[0]: tuple(r)[4:]
         for r in interval.interval_agg_join(
@@ -214,18 +266,9 @@ def address_log(chance, size):
     ]
 
 
-@pytest.mark.parametrize("parts", ["1", "4", "40"])
-def test_history_equals_brute_force_however_it_is_parted(spark, parts):
-    spark.conf.set("spark.sql.shuffle.partitions", parts)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        check_history(spark)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-
-
-def check_history(spark):
+@pytest.mark.parametrize("part_rows", [history.PART_ROWS, 300, 40, 7])
+def test_history_equals_brute_force_however_it_is_parted(spark, part_rows, monkeypatch):
+    monkeypatch.setattr(history, "PART_ROWS", part_rows)
     events = address_log(random.Random(23), 600)
     df = spark.createDataFrame(
         events, "order_id string, person string, ts timestamp_ntz, zip string, city string"
