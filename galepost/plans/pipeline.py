@@ -38,7 +38,7 @@ def load_csv(
     spark: SparkSession,
     database: str,
     paths: dict[str, str | list[str]],
-    quoted_newlines: str = "whole",
+    quoted_newlines: str = "join",
 ) -> dict[str, int]:
     """Fill the empty ones among the five CSV tables; returns rows loaded per table."""
     create_raw_tables(spark, database)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from galepost.functions.text import clean_text, column_name, parse_number
@@ -21,83 +21,160 @@ class QuotedNewlineError(ValueError):
     """A file has a field that runs over several lines, and those are not to be read."""
 
 
-def _landed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Every file with its header line, and whether a quoted field may run over lines.
+# A field as the rest of a line: quoted to its end, plain, or empty. Quantifiers keep what they
+# took, so a line is gone through once.
+_QUOTED = '[^"]*+(?:""[^"]*+)*+"[^,]*+'
+_FIELD = f'(?:"{_QUOTED}|[^",][^,]*+|)'
+_ENDS_OUTSIDE = f"^{_FIELD}(?:,{_FIELD})*+$"
+_CLOSES = f"^{_QUOTED}(?:,{_FIELD})*+$"
 
-    The first line of such a field has an odd number of quotes, so a file whose lines all
-    have an even number is safe to cut at any line.
+
+def _landed_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Every line with its file, block and place, and whether it ends inside a quoted field:
+    if it starts outside one, and if it starts inside. A quote opens a field only at its start.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    lines = spark.read.text(paths).select(
+    has_quote = F.contains("value", F.lit('"'))
+    return spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"),
-        (F.col("_metadata.file_block_start") == 0).alias("leads"),
-        # Grows along a file's first block.
+        F.col("_metadata.file_block_start").alias("block"),
+        # Grows along a block.
         F.monotonically_increasing_id().alias("place"),
         "value",
+    ).withColumns(
+        {
+            "from_outside": F.when(has_quote, ~F.rlike("value", F.lit(_ENDS_OUTSIDE))).otherwise(False),
+            "from_inside": F.when(has_quote, ~F.rlike("value", F.lit(_CLOSES))).otherwise(True),
+        }
     )
-    filled = F.col("leads") & (F.trim("value") != "")
-    return lines.groupBy("file").agg(
-        F.min_by(F.when(filled, F.col("value")), F.when(filled, F.col("place"))).alias("header"),
-        F.max(quotes % 2 == 1).alias("odd"),
+
+
+def _with_state(rows: DataFrame, fixed: Column, flips: Column, window: WindowSpec) -> DataFrame:
+    """``rows`` with ``flipped``, the flips up to each, and ``known``, the state after it.
+
+    A row fixes the state (to ``fixed``, if that is not NULL), flips it or keeps it. Up to the
+    first that fixes it, the state depends on the start, and ``known`` is NULL.
+    """
+    last = F.last(F.when(fixed.isNotNull(), F.struct(fixed.alias("to"), "flipped")), True)
+    return (
+        rows.withColumn("flipped", F.sum(flips.cast("int")).over(window))
+        .withColumn("last", last.over(window))
+        .withColumn(
+            "known", F.col("last.to") != ((F.col("flipped") - F.col("last.flipped")) % 2 == 1)
+        )
+        .drop("last")
     )
 
 
+def _joined_records(lines: DataFrame) -> DataFrame:
+    """``(file, block, place, value)``: the records of files with fields over several lines.
+
+    Each block of a file is gone through by itself. What it does to the state it starts in is
+    one row, and those rows, in order, give every block's start; so a file is read in as many
+    tasks as it has blocks, and only lines of records that are cut are brought together.
+    """
+    in_block = Window.partitionBy("file", "block").orderBy("place")
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    fixed = F.when(F.col("from_outside") == F.col("from_inside"), F.col("from_outside"))
+    flips = F.col("from_outside") & ~F.col("from_inside")
+    is_odd = F.col("flipped") % 2 == 1
+    marked = _with_state(lines, fixed, flips, so_far)
+    blocks = marked.groupBy("file", "block").agg(
+        F.max_by("known", "place").alias("fixed"), F.max_by(is_odd, "place").alias("odd")
+    )
+    by_block = Window.partitionBy("file").orderBy("block")
+    up_to_here = by_block.rowsBetween(Window.unboundedPreceding, 0)
+    flips_block = F.col("odd") & F.col("fixed").isNull()
+    # A file starts outside.
+    ends = _with_state(blocks, F.col("fixed"), flips_block, up_to_here).select(
+        "file", "block", F.coalesce("known", is_odd).alias("end")
+    )
+    starts = ends.select("file", "block", F.lag("end", 1, False).over(by_block).alias("start"))
+    end = F.coalesce("known", F.col("start") != is_odd)
+    states = stage(
+        marked.join(starts, ["file", "block"])
+        .withColumn("ends_inside", end)
+        .withColumn(
+            "goes_on", F.coalesce(F.lag("ends_inside").over(in_block), F.col("start"))
+        )
+        .select("file", "block", "place", "value", "goes_on", "ends_inside"),
+        "csv-lines-with-states",
+    )
+    whole = states.filter(~F.col("goes_on") & ~F.col("ends_inside"))
+    cut = states.filter(F.col("goes_on") | F.col("ends_inside"))
+    at = F.struct("block", "place")
+    # A record is named by its first line, which may lie in an earlier block.
+    first = F.last(F.when(~F.col("goes_on"), at), True)
+    latest = cut.groupBy("file", "block").agg(
+        F.max(F.when(~F.col("goes_on"), at)).alias("latest")
+    )
+    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    carried = latest.select("file", "block", F.last("latest", True).over(before).alias("carried"))
+    joined = (
+        cut.join(carried, ["file", "block"])
+        .withColumn("first", F.coalesce(first.over(so_far), F.col("carried")))
+        .groupBy("file", "first")
+        .agg(F.array_sort(F.collect_list(F.struct("block", "place", "value"))).alias("parts"))
+        .select("file", "first.*", F.array_join("parts.value", "\n").alias("value"))
+    )
+    return whole.select("file", "block", "place", "value").unionByName(joined)
+
+
 def landed_groups(
-    spark: SparkSession, paths: str | list[str], quoted_newlines: str = "whole"
+    spark: SparkSession, paths: str | list[str], quoted_newlines: str = "join"
 ) -> list[DataFrame]:
-    """The files by header line, each group as text columns under its own normalised names.
+    """The files by header, each group as text columns under its own normalised names.
 
-    For equal names the last column wins. A field that holds line breaks forces Spark to read
-    its file front to back in one task. ``quoted_newlines="whole"`` does so with the files
-    that need it and splits all others, so a file of that kind should be no larger than a
-    task may read; ``"refuse"`` raises instead. What reaches the driver is the different
-    header lines, not the files.
+    For equal names the last column wins. Files are read once, as lines and in splits.
+    ``quoted_newlines="join"`` puts the lines of a field with line breaks together again;
+    ``"refuse"`` raises if there is one. What reaches the driver is the different headers, not
+    the files.
     """
-    if quoted_newlines not in ("whole", "refuse"):
+    if quoted_newlines not in ("join", "refuse"):
         raise ValueError(f"unknown way with quoted newlines {quoted_newlines!r}")
-    files = stage(_landed_files(spark, paths), "landed-files")
-    groups = sorted(
-        (row["odd"], row["header"] or "") for row in files.select("odd", "header").distinct().collect()
+    lines = stage(_landed_lines(spark, paths), "csv-lines")
+    opened = lines.filter("from_outside").select("file").distinct()
+    columns = ["file", "block", "place", "value"]
+    if opened.isEmpty():
+        records = lines.select(*columns)
+    elif quoted_newlines == "refuse":
+        raise QuotedNewlineError(f"a quoted field runs over several lines in {paths}")
+    else:
+        opened = stage(opened, "csv-files-with-breaks")
+        records = lines.select(*columns).join(opened, "file", "left_anti").unionByName(
+            stage(_joined_records(lines.join(opened, "file", "left_semi")), "csv-records")
+        )
+    records = records.filter(F.trim("value") != "")
+    headers = stage(
+        records.groupBy("file").agg(F.min(F.struct("block", "place", "value")).alias("header")),
+        "csv-headers",
     )
-    # An empty file has no line; only Spark's own listing, which it holds anyway, knows it.
-    listed = len(spark.read.text(paths).inputFiles())
-    if not all(header for _, header in groups) or files.count() < listed:
+    # An empty file has no line; only Spark's listing knows it, which stays where it is.
+    listed = len(spark.read.text(paths)._jdf.inputFiles())
+    if headers.count() < listed:
         raise MissingColumnsError(f"no header row in {paths}")
-    if quoted_newlines == "refuse" and any(odd for odd, _ in groups):
-        raise QuotedNewlineError(f"a quoted field runs over several lines in {paths}")
-    return [_read_group(spark, paths, files, len(groups), *group) for group in groups]
-
-
-def _read_group(
-    spark: SparkSession,
-    paths: str | list[str],
-    files: DataFrame,
-    groups: int,
-    odd: bool,
-    header: str,
-) -> DataFrame:
-    names = next(csv.reader([header.removeprefix("\ufeff")]))
-    landed = (
-        spark.read.schema(", ".join(f"c{position} string" for position in range(len(names))))
-        .option("header", True)
-        .option("multiLine", odd)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(paths)
+    texts = sorted(row[0] for row in headers.select("header.value").distinct().collect())
+    return [_read_group(records, headers, len(texts), text) for text in texts]
+
+
+def _read_group(records: DataFrame, headers: DataFrame, groups: int, header: str) -> DataFrame:
+    lines = header.removeprefix("\ufeff").splitlines(keepends=True)
+    names = next(csv.reader(lines))
+    schema = ", ".join(f"c{position} string" for position in range(len(names)))
+    own = headers.filter(F.col("header.value") == header) if groups > 1 else headers
+    is_header = (F.col("block") == F.col("header.block")) & (F.col("place") == F.col("header.place"))
+    rows = (
+        records.join(own, "file")
+        .filter(~is_header)
+        .select(F.from_csv("value", schema, {"quote": '"', "escape": '"'}).alias("row"))
     )
-    if groups > 1:
-        mine = files.filter((F.col("odd") == odd) & (F.col("header") == header)).select("file")
-        landed = landed.withColumn("file", F.col("_metadata.file_path"))
-        landed = landed.join(mine, "file", "left_semi")
     position_of = {column_name(name): position for position, name in enumerate(names)}
-    return landed.select(
-        *(F.col(f"c{position}").alias(name) for name, position in position_of.items())
+    return rows.select(
+        *(F.col(f"row.c{position}").alias(name) for name, position in position_of.items())
     )
 
 
 def read_landed_csv(
-    spark: SparkSession, paths: str | list[str], quoted_newlines: str = "whole"
+    spark: SparkSession, paths: str | list[str], quoted_newlines: str = "join"
 ) -> DataFrame:
     """All groups together; a column that a group lacks is NULL in its rows."""
     return reduce(
@@ -143,7 +220,7 @@ def read_dataset(
     spark: SparkSession,
     dataset: Dataset,
     paths: str | list[str],
-    quoted_newlines: str = "whole",
+    quoted_newlines: str = "join",
 ) -> tuple[DataFrame, DataFrame]:
     """Cleaned (valid, rejected) rows of one CSV dataset; every file must have its columns."""
     landed = reduce(
