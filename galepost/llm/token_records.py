@@ -100,12 +100,14 @@ class PieceIds:
     The merges of this vocabulary never cross a piece and no piece holds white space, so a
     text's ids are those of its words in order. Distinct words are encoded many at a time,
     joined by blanks; the last id of every piece ends a word in the vocabulary, which tells
-    them apart again. The strings of special tokens count as ordinary text.
+    them apart again. A text with the string of a special token, which the library takes for
+    that token, is given to it whole.
     """
 
     def __init__(self, path: str, dtype: str = "<u4"):
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        added = self.model.get_added_tokens_decoder().values()
+        self.special = tuple(token.content.lower() for token in added)
         self.dtype = np.dtype(dtype)
         words = self.model.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(words.values()) + 1, dtype=bool)
@@ -114,6 +116,10 @@ class PieceIds:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
 
+    def _has_special(self, text: str) -> bool:
+        low = text.lower()
+        return any(token in low for token in self.special)
+
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words, and how many each has."""
         # A word and the mark after it are two pieces; so fewer are distinct.
@@ -155,7 +161,7 @@ class PieceIds:
         out: list[bytes] = [b""] * len(texts)
         common = []
         for n, text in enumerate(texts):
-            if _UNCOMMON.search(text):
+            if _UNCOMMON.search(text) or self._has_special(text):
                 out[n] = self._ids(text).tobytes()
             else:
                 common.append(n)

@@ -15,7 +15,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def plain_ids(texts):
     model = Tokenizer.from_file(PATH)
-    model.encode_special_tokens = True
     return [
         np.array([*x.ids, tr.END_ID], dtype="<u4").tobytes()
         for x in model.encode_batch([t or "" for t in texts], add_special_tokens=False)
@@ -25,6 +24,7 @@ def plain_ids(texts):
 ODD = [
     "don't STOP <|endoftext|> now", "a\tb c d\x1ce\x85f", "İΣσ Σ",
     "é ́x", "12 345'll", "\r\n\n x", "x<|startoftext|>y",
+    "one <|endoftext|> two", "<|ENDOFTEXT|>", "a <|endoftext|><|endoftext|>b", "<|endoftext |>",
 ]
 
 
