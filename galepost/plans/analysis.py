@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galepost.functions.numeric import percent
@@ -17,6 +17,19 @@ from galepost.plans.transform import TOLERANCE_KM
 LATE = "is_late_delivery"
 
 
+def read_model(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
+    """A built model for analysis, under lower-case names; only ``columns`` are read if given.
+
+    Two columns whose names differ only in case cannot both be kept, which is an error.
+    """
+    model = spark.table(table)
+    names = [name.lower() for name in model.columns]
+    if len(set(names)) < len(names):
+        raise ValueError(f"column names of {table} differ only in case")
+    lower = model.toDF(*names)
+    return lower if columns is None else lower.select(*(c.lower() for c in columns))
+
+
 def late_rate_by_severe(fact: DataFrame, role: str) -> DataFrame:
     """Late rate with and without severe weather at one end, unknown weather apart."""
     return null_aware_rate(fact, f"{role}_had_severe_weather", LATE)

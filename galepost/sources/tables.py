@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+import time
 import uuid
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ REQUESTS = (
 )
 # The state of each load of a raw table: started, then done.
 LOADS = "table_name string, attempt string, state string"
+# How long a replaced build of a model stays for those who read it.
+RETENTION = timedelta(days=1)
 
 
 def create_raw_tables(spark: SparkSession, database: str) -> None:
@@ -74,25 +77,37 @@ def save_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def save_table(df: DataFrame, table: str) -> DataFrame:
+def save_table(df: DataFrame, table: str, retention: timedelta = RETENTION) -> DataFrame:
     """Rebuild a transform or mart model in full and publish it when it is complete.
 
-    Each build is a table of its own; readers go through a view that is moved to the new one
-    in one step. Only then the builds before it go.
+    Each build is a table of its own, named by its start; readers go through a view that is
+    moved to the new one in one step. A build goes when the one after it is older than
+    ``retention``: until then a reader that started before may still be at it, and so may
+    another rebuild whose view is not moved yet.
     """
     spark = df.sparkSession
     database, _, name = table.rpartition(".")
-    build = f"{name}__{uuid.uuid4().hex}"
+    build = f"{name}__{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     prefix = f"{database}." if database else ""
     df.write.saveAsTable(prefix + build)
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {prefix}{build}")
-    within = f" IN {database}" if database else ""
-    for row in spark.sql(f"SHOW TABLES{within} LIKE '{name}__*'").collect():
-        if re.fullmatch(f"{name}__[0-9a-f]{{32}}", row["tableName"]) and row["tableName"] != build:
-            spark.sql(f"DROP TABLE IF EXISTS {prefix}{row['tableName']}")
+    oldest = time.time_ns() - int(retention.total_seconds() * 1e9)
+    builds = _builds(spark, table)
+    for old, next_start in zip(builds, list(builds.values())[1:], strict=False):
+        if next_start < oldest and old != build:
+            spark.sql(f"DROP TABLE IF EXISTS {prefix}{old}")
     return spark.table(table)
 
 
+def _builds(spark: SparkSession, table: str) -> dict[str, int]:
+    """The builds of a model that are still there, and when they started, in order."""
+    database, _, name = table.rpartition(".")
+    within = f" IN {database}" if database else ""
+    names = [row["tableName"] for row in spark.sql(f"SHOW TABLES{within} LIKE '{name}__*'").collect()]
+    found = [re.fullmatch(f"{name}__([0-9]{{20}})_[0-9a-f]{{8}}", n) for n in names]
+    return dict(sorted((m[0], int(m[1])) for m in found if m))
+
+
 def create_requests(spark: SparkSession, database: str) -> str:
     """The table of weather requests, made where it does not exist yet."""
     table = f"{database}.weather_requests"

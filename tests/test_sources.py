@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from galepost.operators.checks import CheckFailedError
-from galepost.plans import pipeline
+from galepost.plans import analysis, pipeline
 from galepost.sources import csv_files, registry, tables, weather_json
 
 
@@ -268,7 +268,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
     again = pipeline.build_models(spark, "raw_e2e", "models_e2e")
     assert again["fact_delivery_weather"].count() == 2
     builds = spark.sql("SHOW TABLES IN models_e2e LIKE 'fact_delivery_weather__*'").collect()
-    assert len(builds) == 1
+    assert len(builds) == 2  # the replaced one stays while someone may read it
 
 
 def test_a_load_that_broke_off_is_replaced(spark):
@@ -357,3 +357,17 @@ def test_missing_days_are_asked_for_alone(spark):
     loaded = pipeline.load_weather(spark, "raw_days", answer(spark, wide))
     assert loaded == 4 * 5 - 1
     assert len({row[1:3] for row in stored(spark, "raw_days")}) == len(stored(spark, "raw_days")) == 20
+
+
+def test_a_reader_of_an_older_build_finishes(spark):
+    spark.sql("create database if not exists models_kept")
+    table = "models_kept.model"
+    first = tables.save_table(spark.range(5).withColumnRenamed("id", "Value"), table)
+    second = tables.save_table(spark.range(7).withColumnRenamed("id", "Value"), table)
+    # The first still reads what it was planned on, while new readers get the new build.
+    assert first.count() == 5 and second.count() == 7 and spark.table(table).count() == 7
+    assert analysis.read_model(spark, table, ["VALUE"]).columns == ["value"]
+    tables.save_table(spark.range(9), table)
+    assert len(tables._builds(spark, table)) == 3
+    last = tables.save_table(spark.range(11), table, timedelta(0))
+    assert len(tables._builds(spark, table)) == 1 and last.count() == 11
