@@ -34,7 +34,7 @@ def aggregate_windows(
     aggs: dict[str, tuple[str, str]],
     strategy: str = "auto",
 ) -> DataFrame:
-    """Aggregates per distinct (on, lo, hi) window, for windows that meet any value.
+    """Aggregates per distinct (on, lo, hi) window; one that meets no fact is absent or NULL.
 
     ``aggs`` maps an output name to (max | min | any, fact column). Windows repeat from
     row to row, so they are made distinct before anything else; a hot key then costs
