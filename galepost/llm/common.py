@@ -78,16 +78,19 @@ def may_hold(rows: DataFrame, bitmap: DataFrame, column: str, flag: str) -> Data
     Before a join this keeps most of the rows without a partner from being moved. A bitmap
     too full to tell keys apart lets all pass, so results never depend on it.
     """
+    # Names that ``rows`` does not have.
+    free = "_" * max(2, *(len(name) for name in rows.columns))
+    bucket, bits = f"{free}bucket", f"{free}bits"
     place = F.pmod(F.col(column), F.lit(BITMAP_BITS))
     bit = F.pmod(place, F.lit(_BITMAP_ROW))
-    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    byte = F.conv(F.hex(F.substring(bits, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
     is_set = F.pmod(F.floor(byte.cast("int") / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1
     return (
-        rows.withColumn("__bucket", F.floor(place / _BITMAP_ROW).cast("int"))
+        rows.withColumn(bucket, F.floor(place / _BITMAP_ROW).cast("int"))
         # Its size is bounded, see key_bitmap.
-        .join(F.broadcast(bitmap), "__bucket", "left")
+        .join(F.broadcast(bitmap.toDF(bucket, bits)), bucket, "left")
         .withColumn(flag, F.coalesce(is_set, F.lit(False)))
-        .drop("__bucket", "__bits")
+        .drop(bucket, bits)
     )
 
 
