@@ -2,9 +2,11 @@
 
 Texts with the same shingles are one class. A class is embedded as a fixed number of tokens
 (minhashes), two of which are shared as often as their sets overlap. Every run deals the
-classes to buckets by a few sampled tokens, and buckets that are too large are split again by
-further sampled tokens; small ones are compared in full by their tokens. Runs repeat until the
-target recall. What this leaves connected is then compared exactly, on whole shingle sets.
+classes to buckets by a few sampled tokens; small buckets are compared in full by their tokens.
+Large ones are first compared with some of their classes. Where most turn out to be alike, the
+few others are compared with the whole bucket once and the bucket is done; else it is split
+again by further sampled tokens. Runs repeat until the target recall. What this leaves
+connected is then compared exactly, on whole shingle sets.
 """
 
 from __future__ import annotations
@@ -44,6 +46,12 @@ DEPTH = 4
 # Buckets up to this size are compared in full.
 SMALL_BUCKET = 128
 
+# Classes of a larger bucket that all of it is compared with (as expected; a hash picks them),
+# members that one group holds meanwhile, and the side of a block of the others' comparison.
+PIVOTS = 64
+CHUNK = 4096
+CROSS = 1024
+
 # Classes of a component are compared block by block.
 BLOCK = 256
 
@@ -298,41 +306,136 @@ def _coded(classes: DataFrame) -> DataFrame:
     return map_batches(classes.select("sid", "tokens"), run, "sid binary, code binary")
 
 
-def _near_pivot(rows: DataFrame, bound: float) -> DataFrame:
-    """(path, sid, anchor, pivot, near) for rows with their own code and their pivot's."""
-    schema = pa.schema(
-        [
-            ("path", pa.int64()),
-            ("sid", pa.binary()),
-            ("anchor", pa.binary()),
-            ("pivot", pa.binary()),
-            ("near", pa.bool_()),
-        ]
+_LABELLED = pa.schema(
+    [
+        ("path", pa.int64()),
+        ("sid", pa.binary()),
+        ("anchor", pa.binary()),
+        ("members", pa.int64()),
+        ("code", pa.binary()),
+        ("other", pa.binary()),
+    ]
+)
+
+
+def _label(bound: float):
+    """Compares each chunk of a bucket with the bucket's pivots.
+
+    A row with ``other`` null is a member and its new anchor: the least pivot it is connected
+    with in this chunk, else the anchor it had. Rows with ``other`` are pairs that connect.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for (path, _), rows in streamed_groups(batches, 2):
+            # Pivots come first, by name, so the root of a tree is its least pivot.
+            rows.sort(key=lambda r: (not r[0], r[1]))
+            pivots = sum(r[0] for r in rows)
+            codes = np.frombuffer(b"".join(r[4] for r in rows), dtype=np.uint8)
+            codes = codes.reshape(len(rows), TOKENS)
+            forest, known, held = Forest(len(rows)), {}, {}
+            for k, (_, name, anchor, _, _) in enumerate(rows):
+                forest.join(np.array([[known.setdefault(name, k), k]]))
+                if anchor is not None:
+                    forest.join(np.array([[held.setdefault(anchor, k), k]]))
+            for start in range(pivots, len(rows) if pivots else 0, 256):
+                near = _agreeing(codes[start : start + 256], codes[:pivots]) >= bound
+                found = forest.join(np.argwhere(near) + [start, 0])
+                out += [(path, rows[a][1], None, 0, None, rows[b][1]) for a, b in found]
+            for k, (_, name, anchor, members, code) in enumerate(rows[pivots:], pivots):
+                root = forest.find(k)
+                label = rows[root][1] if root < pivots else anchor
+                out.append((path, name, label, members, code, None))
+            if len(out) > 5000:
+                yield batch_of(out, _LABELLED)
+                out = []
+        yield batch_of(out, _LABELLED)
+
+    return run
+
+
+def _labelled(large: DataFrame, bound: float) -> DataFrame:
+    """Members of large buckets with the anchors that the buckets' pivots give them."""
+    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
+    pivots = large.where(F.pmod(F.xxhash64("path", "sid"), F.col("members")) < PIVOTS)
+    columns = ["path", "chunk", "pivot", "sid", "anchor", "members", "code"]
+    dealt = large.select(
+        "*",
+        F.pmod(F.xxhash64("sid"), chunks).cast("int").alias("chunk"),
+        F.lit(False).alias("pivot"),
+    ).select(columns)
+    shown = pivots.select(
+        "*", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.lit(True).alias("pivot")
+    ).select(columns)
+    return map_batches(
+        dealt.unionByName(shown)
+        .repartition("path", "chunk")
+        .sortWithinPartitions("path", "chunk"),
+        _label(bound),
+        "path long, sid binary, anchor binary, members long, code binary, other binary",
     )
 
+
+def _cross_edges(bound: float):
+    """Compares a block of one side with a block of the other, and names pairs that connect.
+
+    Nothing counts as connected here but what an anchor connects.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            paths, names, anchors, codes, pivots, theirs = (c.to_pylist() for c in batch.columns)
-            if not names:
-                continue
-            own = np.frombuffer(b"".join(codes), dtype=np.uint8).reshape(-1, TOKENS)
-            other = np.frombuffer(b"".join(theirs), dtype=np.uint8).reshape(-1, TOKENS)
-            near = (own == other).mean(axis=1) >= bound
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(paths, type=pa.int64()),
-                    pa.array(names, type=pa.binary()),
-                    pa.array(anchors, type=pa.binary()),
-                    pa.array(pivots, type=pa.binary()),
-                    pa.array(near),
-                ],
-                schema=schema,
-            )
+        out = []
+        for _, rows in streamed_groups(batches, 3):
+            # The others of the bucket first, then all of it.
+            rows.sort(key=lambda r: r[3])
+            first = sum(r[3] == 0 for r in rows)
+            codes = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.uint8)
+            codes = codes.reshape(len(rows), TOKENS)
+            forest, known, held = Forest(len(rows)), {}, {}
+            for k, (name, _, anchor, _) in enumerate(rows):
+                forest.join(np.array([[known.setdefault(name, k), k]]))
+                if anchor is not None:
+                    forest.join(np.array([[held.setdefault(anchor, k), k]]))
+            for start in range(0, first, 64):
+                part = codes[start : min(start + 64, first)]
+                near = _agreeing(part, codes[first:]) >= bound
+                found = forest.join(np.argwhere(near) + [start, first])
+                out += [(rows[a][0], rows[b][0]) for a, b in found]
+            if len(out) > 5000:
+                yield batch_of(out, _EDGE)
+                out = []
+        yield batch_of(out, _EDGE)
+
+    return run
+
 
+def _others_with_all(settled: DataFrame, bound: float) -> DataFrame:
+    """Pairs that connect, from comparing what lacks a bucket's main anchor with all of it."""
+    count = F.col("members") - F.col("held")
+    rows = settled.where(count > 0).select(
+        "*",
+        F.ceil(count / CROSS).cast("int").alias("high"),
+        F.ceil(F.col("members") / CROSS).cast("int").alias("wide"),
+    )
+    columns = ["path", "i", "j", "sid", "code", "anchor", "own"]
+    others = rows.where(~F.col("anchor").eqNullSafe(F.col("main")) | F.isnull("main")).select(
+        "*",
+        F.pmod(F.xxhash64("sid"), "high").cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("j"),
+        F.lit(0).alias("own"),
+    )
+    everything = rows.select(
+        "*",
+        F.explode(F.sequence(F.lit(0), F.col("high") - 1)).alias("i"),
+        F.pmod(F.xxhash64("sid"), "wide").cast("int").alias("j"),
+        F.lit(1).alias("own"),
+    )
     return map_batches(
-        rows.select("path", "sid", "anchor", "code", "pivot", "pivot_code"),
-        run,
-        "path long, sid binary, anchor binary, pivot binary, near boolean",
+        others.select(columns)
+        .unionByName(everything.select(columns))
+        .repartition("path", "i", "j")
+        .sortWithinPartitions("path", "i", "j"),
+        _cross_edges(bound),
+        "a binary, b binary",
     )
 
 
@@ -347,10 +450,11 @@ def _bucket_sizes(rows: DataFrame) -> DataFrame:
 def candidate_edges(classes: DataFrame, similarity: float, recall: float) -> DataFrame:
     """Pairs ``(a, b)`` of classes that connect all whose embeddings met and agree.
 
-    A large bucket is first compared with one of its classes, its pivot. What agrees with the
-    pivot is connected by that, has it as its anchor, and stays only as a partner of those
-    with another or none; so a bucket full of copies of one text ends here and is never
-    expanded to pairs.
+    A large bucket is first compared with a few of its classes, its pivots. What is connected
+    by that has a common anchor. Where one anchor holds half of the bucket, everything else is
+    compared with the whole bucket, which is then done; classes with the same anchor are not
+    compared again, so a bucket full of copies of one text is never expanded to pairs nor
+    split. A more mixed bucket is split, until the last depth ends all alike.
     """
     spark = classes.sparkSession
     bound = sketch_bound(similarity, recall)
@@ -385,24 +489,6 @@ def candidate_edges(classes: DataFrame, similarity: float, recall: float) -> Dat
             F.lit(0).alias("own"),
         )
         large = full.where(F.col("members") > SMALL_BUCKET)
-        more = bool(large.take(1))
-        if more and level == DEPTH:
-            # Blocks of the rest, every block with every other.
-            blocks = F.ceil(F.col("members") / SMALL_BUCKET).cast("int")
-            own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-            small = small.unionByName(
-                large.withColumn("blocks", blocks)
-                .withColumn("own", own)
-                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                .select(
-                    "path",
-                    F.least("own", "other").alias("i"),
-                    F.greatest("own", "other").alias("j"),
-                    "sid",
-                    "anchor",
-                    "own",
-                )
-            )
         compared = (
             small.join(coded, "sid")
             .select("path", "i", "j", "sid", "code", "anchor", "own")
@@ -412,28 +498,29 @@ def candidate_edges(classes: DataFrame, similarity: float, recall: float) -> Dat
         found = found.unionByName(
             stage(map_batches(compared, _bucket_edges(bound), "a binary, b binary"), "join-edges")
         )
-        if not more or level == DEPTH:
+        if not large.take(1):
             break
-        pivots = large.groupBy("path").agg(F.min("sid").alias("pivot"))
-        pivots = pivots.join(
-            coded.select(F.col("sid").alias("pivot"), F.col("code").alias("pivot_code")), "pivot"
-        )
-        near = stage(
-            _near_pivot(large.join(coded, "sid").join(pivots, "path"), bound), "join-pivots"
-        )
-        # Of classes with the same anchor one pair connects all.
-        met_by = near.where("near AND sid <> pivot").groupBy(
-            "path", "pivot", F.coalesce("anchor", "sid").alias("held")
-        )
+        labelled = stage(_labelled(large.join(coded, "sid"), bound), "join-pivots")
         found = found.unionByName(
-            met_by.agg(F.min("sid").alias("b")).select(F.col("pivot").alias("a"), "b")
+            labelled.where("other IS NOT NULL").select(F.col("sid").alias("a"), F.col("other").alias("b"))
+        )
+        members = labelled.where("other IS NULL").drop("other")
+        mains = (
+            members.where("anchor IS NOT NULL")
+            .groupBy("path", "anchor")
+            .agg(F.count("*").alias("held"))
+            .groupBy("path")
+            .agg(F.max(F.struct("held", "anchor")).alias("most"))
+            .select("path", "most.held", F.col("most.anchor").alias("main"))
         )
-        dealt = _deal(
-            near.withColumn(
-                "anchor", F.coalesce("anchor", F.when(F.col("near"), F.col("pivot")))
-            ).join(met, "sid"),
-            None,
+        judged = members.join(mains, "path", "left").withColumn(
+            "held", F.coalesce("held", F.lit(0))
         )
+        judged = stage(judged, "join-judged")
+        done = F.lit(level == DEPTH) | (2 * F.col("held") >= F.col("members"))
+        found = found.unionByName(stage(_others_with_all(judged.where(done), bound), "join-edges"))
+        if level < DEPTH:
+            dealt = _deal(judged.where(~done).select("path", "anchor", "sid").join(met, "sid"), None)
     return found
 
 
