@@ -49,9 +49,11 @@ HEX_OPENING = re.compile(
 )
 TOKEN_OPENING = re.compile("eyJ")
 SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]{16,}")
-ARMOUR = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]+)-----((?:[A-Za-z0-9+/=\s:,-]|\\+[nr])*?)-----END \1-----", re.ASCII
-)
+# The dashes of a line may belong to the next one too.
+BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]+)(?=-----)")
+FINISH = re.compile(r"-----END ([A-Z0-9 ]+)(?=-----)")
+# What cannot stand between them.
+NO_BODY = re.compile(r"\\+(?![nr\\])|[^A-Za-z0-9+/=\s:,\\-]", re.ASCII)
 
 # Names that open a key blob.
 KEY_NAMES = (
@@ -161,7 +163,48 @@ def _confirmed(data: bytes | None) -> str | None:
     return None
 
 
-def _key_size(data: bytes) -> int | None:
+class Run:
+    """The bytes of an encoded run from one of its characters on, decoded where they are read.
+
+    So looking at the lengths of a key costs the same however long the run is.
+    """
+
+    def __init__(self, text: str, at: int, hexadecimal: bool, size: int | None = None):
+        self.text, self.at, self.hexadecimal = text, at, hexadecimal
+        rest = len(text) - at
+        whole = rest // 2 if hexadecimal else rest * 3 // 4
+        self.size = whole if size is None else min(size, whole)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def first(self, size: int) -> bytes | Run:
+        """The beginning; a short one is decoded at once."""
+        if size <= 4096:
+            return self[:size]
+        return Run(self.text, self.at, self.hexadecimal, size)
+
+    def startswith(self, prefix: bytes) -> bool:
+        return self[: len(prefix)] == prefix
+
+    def __getitem__(self, place):
+        if not isinstance(place, slice):
+            if place >= self.size:
+                raise IndexError(place)
+            return self[place : place + 1][0]
+        start, stop, _ = place.indices(self.size)
+        if start >= stop:
+            return b""
+        if self.hexadecimal:
+            return bytes.fromhex(self.text[self.at + 2 * start : self.at + 2 * stop])
+        # Four characters are three bytes.
+        skipped = start // 3
+        piece = self.text[self.at + 4 * skipped : self.at - (-stop // 3) * 4]
+        data = unpack(piece[: len(piece) - (len(piece) % 4 == 1)])
+        return data[start - 3 * skipped : stop - 3 * skipped]
+
+
+def _key_size(data: bytes | Run) -> int | None:
     """Bytes of the key that opens the data, as its own lengths tell."""
     if data[:1] == b"\x30":
         width = data[1] & 0x7F if len(data) > 1 and data[1] >= 0x80 else 0
@@ -212,23 +255,13 @@ def _opened(text: str, lines: list[tuple[int, int]], hexadecimal: bool) -> list[
         line = bisect.bisect_right(offsets, at) - 1
         return lines[line][0] + at - offsets[line]
 
-    def decoded(at: int, size: int) -> bytes | None:
-        if hexadecimal:
-            rest = joined[at : at + 2 * size]
-            return bytes.fromhex(rest[: len(rest) // 2 * 2])
-        rest = joined[at : at - (-size * 4 // 3)].rstrip("=")
-        return unpack(rest[: len(rest) - (len(rest) % 4 == 1)])
-
+    body = joined.rstrip("=")
     spans, at = [], 0
     while m := (HEX_OPENING if hexadecimal else OPENING).search(joined, at):
         at = m.start() + 1
-        # A sequence tells its length at once, so only that much is decoded.
-        sequence = m[0].startswith(("M", "30"))
-        data = decoded(m.start(), 8 if sequence else len(joined))
-        size = _key_size(data) if data else None
-        if size is not None and sequence:
-            data = decoded(m.start(), size)
-        if not data or size is None or size > len(data) or not (kind := _confirmed(data[:size])):
+        data = Run(body, m.start(), hexadecimal)
+        size = _key_size(data)
+        if size is None or size > len(data) or not (kind := _confirmed(data.first(size))):
             continue
         at = m.start() + (size * 2 if hexadecimal else -(-size * 4 // 3))
         end = place(at - 1) + 1
@@ -255,6 +288,28 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return _ordered(spans)
 
 
+def _armoured(text: str) -> Iterator[tuple[int, str, int]]:
+    """(start, body, end) from each BEGIN to the next END of its label, if all between can be a
+    body. Ends and foreign characters are listed once, so many openings cost no more."""
+    ends: dict[str, list[int]] = {}
+    for m in FINISH.finditer(text):
+        ends.setdefault(m[1], []).append(m.start())
+    if not ends:
+        return
+    foreign = [m.start() for m in NO_BODY.finditer(text)]
+    done = 0
+    for m in BEGIN.finditer(text):
+        body, places = m.end() + 5, ends.get(m[1], [])
+        at = bisect.bisect_left(places, body)
+        if m.start() < done or at == len(places):
+            continue
+        end = places[at]
+        strange = bisect.bisect_left(foreign, body)
+        if strange == len(foreign) or foreign[strange] >= end:
+            done = end + len("-----END ") + len(m[1]) + 5
+            yield m.start(), text[body:end], done
+
+
 def structural_spans(text: str) -> list[tuple[int, int, str]]:
     """Runs that decode to a key or a signed token.
 
@@ -263,14 +318,14 @@ def structural_spans(text: str) -> list[tuple[int, int, str]]:
     """
     armours = []
     if "-----BEGIN " in text:
-        for m in ARMOUR.finditer(text):
+        for start, body, end in _armoured(text):
             # Header lines of an encrypted block stand before a blank line.
-            lines = ESCAPED_END.sub("\n", m[2])
+            lines = ESCAPED_END.sub("\n", body)
             body = re.split(r"\n\s*\n", lines.strip())[-1]
             data = unpack(re.sub(r"\s", "", body))
             if data and (_confirmed(data) or "ENCRYPTED" in lines and len(data) >= 24):
-                armours.append((m.start(), m.end(), "pem"))
-    spans = []
+                armours.append((start, end, "pem"))
+    spans, opened = [], [start for start, _, _ in armours]
     for run, following, hexadecimal in (
         (ENCODED, NEXT_ENCODED, False),
         (HEX_ANY, NEXT_HEX, True),
@@ -284,7 +339,9 @@ def structural_spans(text: str) -> list[tuple[int, int, str]]:
                 if kind := _confirmed(bytes.fromhex(part) if hexadecimal else unpack(part)):
                     alone.append((start, end, kind))
             spans += alone
-            held = armours + alone
+            # Armours are in order and apart, so few can touch these lines.
+            first = max(bisect.bisect_right(opened, lines[0][0]) - 1, 0)
+            held = armours[first : bisect.bisect_right(opened, lines[-1][1])] + alone
             if not any(a <= lines[0][0] and lines[-1][1] <= b for a, b, _ in held):
                 spans += [
                     x

@@ -3,6 +3,9 @@ import hashlib
 import json
 import re
 import struct
+import time
+
+import pytest
 
 import __spark_entry__ as registry
 from galepost.llm import secret_scan as ss
@@ -156,3 +159,43 @@ def test_query(spark):
         assert row.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
         counts = [sum(k == kind for _, _, k in base) for kind in ("assign", "access", "hex")]
         assert [row.n_assign, row.n_access, row.n_hex] == counts
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "-----BEGIN RSA KEY-----\n",
+        "AAAAB3NzaC1yc2EAAAADAQABAAABAQ",
+        "AAAAB3NzaC1yc2EAAAADAQABAAABAQ\n",
+        "b3BlbnNzaC1rZXktdjEA",
+        "-",
+    ],
+)
+def test_many_openings_cost_no_more_than_their_text(part):
+    text = part * (1_000_000 // len(part))
+    began = time.process_time()
+    # An end that no opening reaches does not make them look for it again.
+    for whole in (text, text + "$\n-----END RSA KEY-----"):
+        assert "pem" not in kinds(whole)
+    assert time.process_time() - began < 8
+
+
+def test_a_run_reads_like_its_bytes():
+    data = bytes(range(256)) * 3
+    for size in (766, 767, 768):
+        for text, hexadecimal in ((data[:size].hex(), True), (base64.b64encode(data[:size]).decode().rstrip("="), False)):
+            run = ss.Run("AB" * 2 + text, 4, hexadecimal)
+            assert len(run) == size
+            assert all(run[i : i + n] == data[:size][i : i + n] for i in range(0, size, 7) for n in (1, 4, 50))
+            assert run[5] == data[5] and len(run.first(100)) == 100
+
+
+def test_armour_after_openings_without_end():
+    begin, end = "-----BEGIN A-----", "-----END A-----"
+    text = f"{begin}$\n" * 3 + begin + end
+    assert list(ss._armoured(text)) == [(57, "", 57 + len(begin + end))]
+    # Labels must agree, and dashes may belong to two lines.
+    assert not list(ss._armoured(f"{begin}\n-----END B-----"))
+    body = base64.b64encode(KEY).decode()
+    text = f"{begin}$\n-----BEGIN B-----BEGIN A-----\n{body}\n{end}"
+    assert ("pem", text[-len(end) :]) in [(k, text[b - len(end) : b]) for _, b, k in ss.structural_spans(text)]
