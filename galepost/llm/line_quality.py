@@ -204,7 +204,10 @@ def fit_line_model(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DO
         sample.select("doc_id", "text", "__quality"),
         measure,
         "doc_id long, quality int, features binary",
-    ).limit(4 * per_label)
+    )
+    # Of rows that share an id one is learned from, the same in every run.
+    found = found.groupBy("doc_id").agg(F.max(F.struct("quality", "features")).alias("row"))
+    found = found.select("doc_id", "row.quality", "row.features")
     rows = sorted((r.doc_id, r.quality, bytes(r.features)) for r in found.collect())
     features = [
         np.frombuffer(packed, dtype=np.uint8).reshape(-1, len(FEATURES)) for _, _, packed in rows

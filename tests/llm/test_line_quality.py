@@ -114,3 +114,15 @@ def test_query(spark):
     judged = [(rows[x.doc_id], x.quality) for x in labels if not rows[x.doc_id].base_failed]
     right = sum(row.kept == bool(quality) for row, quality in judged)
     assert right >= 0.97 * len(judged)
+
+
+def test_repeated_ids_fit_the_same_model(spark, documents):
+    """Rows beyond the sample's bound do not decide by chance what is learned."""
+    good, bad = "A whole sentence stands here and ends.\nAnother one follows it.", "BUY | NOW |\n$$ ** ##"
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    texts = [good, bad] + [f"{good} {i}" for i in range(40)]
+    docs = documents(texts, [1, 2] + [1] * 40)
+    models = [
+        lq.fit_line_model(d, labels, per_label=1) for d in (docs, docs.repartition(5, "text"))
+    ]
+    assert (models[0].emit == models[1].emit).all() and (models[0].move == models[1].move).all()
