@@ -1,8 +1,10 @@
 """Quality rules: a linear-chain conditional random field labels the lines of a text.
 
-Two states, content and boilerplate. The weights are learned from lines of labelled documents
-by maximum likelihood (a line takes its document's label); Viterbi decoding labels the lines
-of every text, and the share of words in content lines decides whether it stays.
+Two states, content and boilerplate. The weights are learned by maximum likelihood from the
+lines of labelled documents, which take their document's label, and from documents of both
+labels put into each other, in which the label changes: those teach what a change costs.
+Viterbi decoding labels the lines of every text, and the share of words in content lines
+decides whether it stays.
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ FEATURES = (
     "earlier line", "no lower start", "digits", "word>25", "mean word<4", "mean word>9",
     "first", "few words in text",
 )
+_FIRST, _ALONE = FEATURES.index("first"), FEATURES.index("few words in text")
 
 
 def line_features(lines: list[str]) -> np.ndarray:
@@ -106,10 +109,44 @@ class LineModel:
         return labels[::-1]
 
 
+def mixed_sequences(
+    content: list[np.ndarray], boilerplate: list[np.ndarray], most: int = TRAIN_LINES
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Sequences of two documents, one of each label, and the label of each line.
+
+    One follows the other or stands inside it, by turns; the shorter list is gone through
+    again, so every document is in one of them. At most ``most`` lines each. None without
+    documents of both labels.
+    """
+    features, labels = [], []
+    if not content or not boilerplate:
+        return features, labels
+    for i in range(max(len(content), len(boilerplate))):
+        pair = [
+            (content[i % len(content)], CONTENT),
+            (boilerplate[i % len(boilerplate)], BOILERPLATE),
+        ]
+        (outer, a), (inner, b) = pair if i % 2 else pair[::-1]
+        outer, inner = outer[: max(most // 2, 1)], inner[: max(most // 2, 1)]
+        # Of every four, two begin with the other document or a part of it.
+        cut = len(outer) if i // 2 % 2 else len(outer) // 2
+        rows = np.concatenate([outer[:cut], inner, outer[cut:]])
+        rows[:, _FIRST] = 0
+        rows[0, _FIRST] = 1
+        rows[:, _ALONE] = 0
+        features.append(rows)
+        labels.append(np.repeat([a, b, a], [cut, len(inner), len(outer) - cut]))
+    return features, labels
+
+
 def train_lines(
-    features: list[np.ndarray], labels: list[int], epochs: int = EPOCHS, decay: float = 1e-3
+    features: list[np.ndarray],
+    labels: list[int | np.ndarray],
+    epochs: int = EPOCHS,
+    decay: float = 1e-3,
 ) -> LineModel:
-    """Maximum likelihood by full-batch Adam; ``labels`` has one state per sequence.
+    """Maximum likelihood by full-batch Adam; ``labels`` has one state for all lines of a
+    sequence, or one for each.
 
     Without any sequence the model calls every line content.
     """
@@ -125,14 +162,19 @@ def train_lines(
     for i, rows in enumerate(features):
         x[: len(rows), i] = rows
         live[: len(rows), i] = True
-    gold = np.asarray(labels)
-    # Both labels weigh the same, however many documents have them.
-    weight = np.where(gold == 1, 1 / max((gold == 1).sum(), 1), 1 / max((gold == 0).sum(), 1))
+    gold = np.zeros((longest, count), dtype=np.int64)
+    for i, (rows, own) in enumerate(zip(features, labels, strict=True)):
+        gold[: len(rows), i] = own
+    # Sequences of one label, of the other and of both weigh the same, however many there are.
+    kind = 2 * (live & (gold == CONTENT)).any(axis=0) + (live & (gold == BOILERPLATE)).any(axis=0)
+    weight = 1 / np.bincount(kind)[kind]
     weight = weight / weight.sum()
     lengths = live.sum(axis=0)
     params = np.concatenate([emit.ravel(), move.ravel()])
     first, second = np.zeros_like(params), np.zeros_like(params)
-    every = np.arange(count)
+    target = np.stack([live & (gold == state) for state in (CONTENT, BOILERPLATE)], axis=2)
+    moves = np.zeros((2, 2))
+    np.add.at(moves, (gold[:-1], gold[1:]), live[1:] * weight)
     for step in range(1, epochs + 1):
         emit, move = params[: 2 * width].reshape(width, 2), params[2 * width :].reshape(2, 2)
         score = x @ emit
@@ -148,19 +190,14 @@ def train_lines(
             new = np.logaddexp(joint[:, :, 0], joint[:, :, 1])
             backward[t] = np.where(live[t + 1][:, None], new, backward[t + 1])
         state = np.exp(forward + backward - total[None, :, None]) * live[:, :, None]
-        target = np.zeros_like(state)
-        target[:, every, gold] = live
         pull = (target - state) * weight[None, :, None]
         grad_emit = np.einsum("tif,tis->fs", x, pull)
-        grad_move = np.zeros((2, 2))
+        grad_move = moves.copy()
         for t in range(1, longest):
             both = live[t]
             joint = forward[t - 1][:, :, None] + move + (score[t] + backward[t])[:, None, :]
             shares = np.exp(joint - total[:, None, None])
             grad_move -= (shares * (weight * both)[:, None, None]).sum(axis=0)
-        steps = (np.maximum(lengths - 1, 0) * weight).astype(float)
-        for s in (0, 1):
-            grad_move[s, s] += steps[gold == s].sum()
         grad = np.concatenate([grad_emit.ravel(), grad_move.ravel()]) / max(
             (lengths * weight).sum(), 1e-9
         )
@@ -177,6 +214,7 @@ def train_lines(
 def fit_line_model(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOCS) -> LineModel:
     """Learn from at most ``per_label`` documents of each quality label, chosen by a hash.
 
+    Those that the rules reject are not mixed with others: their lines may be like any content.
     Only bounded rows of features reach the driver, never texts.
     """
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
@@ -188,7 +226,14 @@ def fit_line_model(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DO
         chosen = some if chosen is None else chosen.unionByName(some)
     # At most two times per_label rows of two numbers.
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    schema = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("features", pa.binary())])
+    schema = pa.schema(
+        [
+            ("doc_id", pa.int64()),
+            ("quality", pa.int32()),
+            ("failed", pa.bool_()),
+            ("features", pa.binary()),
+        ]
+    )
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,22 +242,28 @@ def fit_line_model(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DO
                 lines = text_lines(text)[:TRAIN_LINES]
                 if lines:
                     packed = line_features(lines).astype(np.uint8).tobytes()
-                    out.append((doc, quality, packed))
+                    out.append((doc, quality, fails(*measures(text)), packed))
             yield batch_of(out, schema)
 
     found = map_batches(
         sample.select("doc_id", "text", "__quality"),
         measure,
-        "doc_id long, quality int, features binary",
+        "doc_id long, quality int, failed boolean, features binary",
     )
     # Of rows that share an id one is learned from, the same in every run.
-    found = found.groupBy("doc_id").agg(F.max(F.struct("quality", "features")).alias("row"))
-    found = found.select("doc_id", "row.quality", "row.features")
-    rows = sorted((r.doc_id, r.quality, bytes(r.features)) for r in found.collect())
-    features = [
-        np.frombuffer(packed, dtype=np.uint8).reshape(-1, len(FEATURES)) for _, _, packed in rows
-    ]
-    return train_lines(features, [CONTENT if q == 1 else BOILERPLATE for _, q, _ in rows])
+    found = found.groupBy("doc_id").agg(
+        F.max(F.struct("quality", "failed", "features")).alias("row")
+    )
+    found = found.select("doc_id", "row.*")
+    rows = sorted((r.doc_id, r.quality, r.failed, bytes(r.features)) for r in found.collect())
+    features, labels, judged = [], [], ([], [])
+    for _, quality, failed, packed in rows:
+        features.append(np.frombuffer(packed, dtype=np.uint8).reshape(-1, len(FEATURES)))
+        labels.append(CONTENT if quality == 1 else BOILERPLATE)
+        if not failed:
+            judged[labels[-1]].append(features[-1])
+    mixed, changing = mixed_sequences(judged[CONTENT], judged[BOILERPLATE])
+    return train_lines(features + mixed, labels + changing)
 
 
 def measures(text: str | None) -> tuple[int, int, int, int, int]:
@@ -246,11 +297,16 @@ def measures(text: str | None) -> tuple[int, int, int, int, int]:
     return n, chars, len(_SYMBOL.findall(text)), repeated_lines, covered
 
 
+def fails(n_words: int, chars: int, symbols: int, dup_lines: int, repeat_words: int) -> bool:
+    """Whether the rules reject a text, whatever the model says."""
+    return n_words < MIN_WORDS or repeat_words > MAX_REPEATED * n_words
+
+
 def judge(model: LineModel, text: str | None) -> tuple:
     """The measures, then whether the rules fail it, whether it stays, its content share and
     the number of content lines."""
-    n, chars, symbols, repeated_lines, covered = measures(text)
-    failed = n < MIN_WORDS or covered > MAX_REPEATED * n
+    measured = measures(text)
+    failed = fails(*measured)
     lines = text_lines(text)
     labels = model.decode(lines)
     content = words = 0
@@ -259,10 +315,8 @@ def judge(model: LineModel, text: str | None) -> tuple:
         words += count
         content += count * (label == CONTENT)
     share = content / words if words else 0.0
-    return (
-        n, chars, symbols, repeated_lines, covered, failed,
-        not failed and share >= CONTENT_SHARE, share, labels.count(CONTENT),
-    )
+    kept = not failed and share >= CONTENT_SHARE
+    return *measured, failed, kept, share, labels.count(CONTENT)
 
 
 _JUDGED = pa.schema(
@@ -301,7 +355,10 @@ def quality_of(docs: DataFrame, model: LineModel) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, model: LineModel) -> DataFrame:
-    """The rows that stay, with all their columns."""
+    """The rows that stay, with all their columns.
+
+    A null or empty text goes; repeated rows stay or go together; an empty table gives none.
+    """
     text_at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -126,3 +126,44 @@ def test_repeated_ids_fit_the_same_model(spark, documents):
         lq.fit_line_model(d, labels, per_label=1) for d in (docs, docs.repartition(5, "text"))
     ]
     assert (models[0].emit == models[1].emit).all() and (models[0].move == models[1].move).all()
+
+
+def junk(seed, lines):
+    rng = np.random.default_rng(seed)
+    return [
+        " ".join(f"menu{n}{'#$&*'[n % 4] * 3}" for n in rng.integers(10_000, size=7))
+        for _ in range(lines)
+    ]
+
+
+def test_mixed_sequences_hold_every_document():
+    content = [lq.line_features(prose(i, 90).split("\n")) for i in range(3)]
+    other = [lq.line_features(junk(i, 1 + i)) for i in range(5)]
+    features, labels = lq.mixed_sequences(content, other, most=8)
+    assert len(features) == 5 and all(len(f) == len(y) <= 8 for f, y in zip(features, labels, strict=True))
+    first, alone = lq.FEATURES.index("first"), lq.FEATURES.index("few words in text")
+    for rows, own in zip(features, labels, strict=True):
+        assert set(own) == {lq.CONTENT, lq.BOILERPLATE}
+        assert rows[0, first] == 1 and not rows[1:, first].any() and not rows[:, alone].any()
+    for i, rows in enumerate(other):
+        assert (labels[i] == lq.BOILERPLATE).sum() == min(len(rows), 4)
+    assert {tuple(y[np.append(True, np.diff(y) != 0)]) for y in labels} >= {(0, 1), (1, 0)}
+    assert lq.mixed_sequences(content, []) == ([], []) == lq.mixed_sequences([], other)
+
+
+def test_labels_change_inside_a_text(spark, documents):
+    texts = [prose(i, 120, line=12) for i in range(30)] + ["\n".join(junk(i, 12)) for i in range(30)]
+    labels = spark.createDataFrame(
+        [(i, int(i < 30)) for i in range(60)], "doc_id long, quality int"
+    )
+    model = lq.fit_line_model(documents(texts), labels)
+    assert model.move[0, 0] > model.move[0, 1] and model.move[1, 1] > model.move[1, 0]
+    above, below = prose(91, 120, line=12).split("\n"), prose(92, 96, line=12).split("\n")
+    for planted in (junk(93, 3), junk(94, 6)):
+        lines = above + planted + below
+        want = [lq.CONTENT] * len(above) + [lq.BOILERPLATE] * len(planted) + [lq.CONTENT] * len(below)
+        assert model.decode(lines) == want
+        kept, share = lq.judge(model, "\n".join(lines))[6:8]
+        assert kept and 0 < share < 1
+    mostly = lq.judge(model, "\n".join(above[:3] + junk(95, 20)))
+    assert not mostly[5] and not mostly[6] and 0 < mostly[7] < lq.CONTENT_SHARE
