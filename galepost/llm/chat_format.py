@@ -130,8 +130,8 @@ def chat_windows(
 ) -> DataFrame:
     """Windows ``(conv_id, window, text, loss_spans, n_tokens)`` of all conversations.
 
-    Prefix sums of the turns' tokens cut a conversation at multiples of its stride: what the
-    budget leaves beside the system turn, the history and the longest turn. A turn is taught
+    A conversation that fits in the budget is one window. Prefix sums of the turns' tokens cut
+    a longer one at multiples of its stride: what the budget leaves beside the system turn, the history and the longest turn. A turn is taught
     in the window in which its prefix sum falls, whole. Turns that begin within ``history``
     tokens before a window are repeated in it without loss, and so is a leading system turn.
     Short of room, the history takes half of it at most. A window exceeds the budget only
@@ -162,15 +162,25 @@ def chat_windows(
     is_system = (F.col("seq") == 0) & (F.col("role") == "system")
     limits = placed.groupBy(*keys).agg(
         F.max("tokens").alias("longest"),
+        F.sum("tokens").alias("total"),
         F.max(F.when(is_system, F.struct("tokens", "role", "text"))).alias("system"),
     )
+    whole = F.col("total") <= budget
     limits = limits.withColumn(
         "room", F.lit(budget) - F.col("longest") - F.coalesce(F.col("system.tokens"), F.lit(0))
     ).withColumn(
-        "kept", F.greatest(F.least(F.lit(history), F.floor(F.col("room") / 2)), F.lit(0))
+        "kept",
+        F.when(whole, F.lit(0)).otherwise(
+            F.greatest(F.least(F.lit(history), F.floor(F.col("room") / 2)), F.lit(0))
+        ),
     )
     limits = stage(
-        limits.withColumn("stride", F.greatest(F.col("room") - F.col("kept"), F.lit(1))),
+        limits.withColumn(
+            "stride",
+            F.when(whole, F.col("total")).otherwise(
+                F.greatest(F.col("room") - F.col("kept"), F.lit(1))
+            ),
+        ),
         "chat-limits",
     )
     cut = placed.join(limits.select(*keys, "stride", "kept"), keys).withColumn(

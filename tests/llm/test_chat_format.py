@@ -92,6 +92,23 @@ def test_edges_and_a_long_conversation(spark):
     assert repeats > 5
 
 
+def test_what_fits_is_one_window(spark):
+    """One token less of budget cuts it."""
+    long = [(1, i, ("user", "assistant")[i % 2], prose(i, 40)) for i in range(8)]
+    rows = [*long, (2, 0, "system", "Be brief."), (2, 1, "assistant", prose(9, 150))]
+    rows += [(None, None, None, None)]
+    loose = cf.chat_windows(table(spark, rows), *CHAT, budget=100_000, history=64).collect()
+    sizes = {w.conv_id: w.n_tokens for w in loose}
+    assert len(loose) == len(sizes) == 3
+    for budget in (sizes[1], sizes[1] - 1):
+        windows = cf.chat_windows(table(spark, rows), *CHAT, budget=budget, history=64).cache()
+        assert found(windows) == expected(rows)
+        count = {r.conv_id: r["count"] for r in windows.groupBy("conv_id").count().collect()}
+        assert (count[1] == 1) == (budget == sizes[1])
+        assert count[2] == count[None] == 1
+        assert windows.agg({"n_tokens": "max"}).first()[0] <= budget
+
+
 def test_empty_table(spark):
     windows = cf.chat_windows(table(spark, []), *CHAT)
     assert windows.count() == 0 and cf.read_back(windows).count() == 0
