@@ -22,9 +22,14 @@ def first_by(
     """Each group's first row by ``order`` (ascending, NULLs last).
 
     An aggregate rather than a ranked window: every task reduces its rows to one per
-    group before the shuffle, so a group of any size is cheap.
+    group before the shuffle, so a group of any size is cheap. What is kept and ordered by
+    moves once: it is read back from the least ordering key.
     """
-    winner = F.min_by(F.struct(*keep), ordering_key(*(F.col(c) for c in order)))
+    ordering = ordering_key(*(F.col(c) for c in order))
+    if set(keep) <= set(order):
+        kept = [F.col(f"winner.value{order.index(column)}").alias(column) for column in keep]
+        return df.groupBy(*keys).agg(F.min(ordering).alias("winner")).select(*keys, *kept)
+    winner = F.min_by(F.struct(*keep), ordering)
     return df.groupBy(*keys).agg(winner.alias("winner")).select(*keys, "winner.*")
 
 

@@ -20,6 +20,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from galepost.session import stage
+
 # Columns of the test tables in use; given, so that opening them reads no file.
 TABLES = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
@@ -213,7 +215,8 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def weather_responses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(responses, requests): JSON payloads of up to 100 locations and a month each.
 
-    A location's month holds at most 31 days, so every group that is packed is small.
+    A location's month holds at most 31 days, so every group that is packed is small. The
+    packed batches are written once, for both results.
     """
     open_tables(spark, sf_dir)
     sample(spark, "response_days").createOrReplaceTempView("response_days")
@@ -222,11 +225,12 @@ def weather_responses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
                sort_array(collect_list(struct(d, day_text, warmest, coldest, rain, wind))) days
         from response_days group by batch, month_start, s, latitude, longitude
     """).createOrReplaceTempView("location_months")
-    spark.sql("""
+    landed = spark.sql("""
         select batch_id, broken,
                sort_array(collect_list(struct(s, latitude, longitude, days))) locations
         from location_months group by batch_id, broken
-    """).createOrReplaceTempView("landed_batches")
+    """)
+    stage(landed, "landed-batches").createOrReplaceTempView("landed_batches")
     responses = spark.sql("""
         select batch_id, if(broken, '[{"daily": {"time"', to_json(transform(locations, l -> named_struct('daily', named_struct(
             'time', l.days.day_text,

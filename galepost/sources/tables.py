@@ -166,7 +166,8 @@ def new_weather(rows: DataFrame, stored: DataFrame) -> DataFrame:
     cells = {"lat_cell": _grid(F.col("latitude")), "lng_cell": _grid(F.col("longitude"))}
     keys = [*cells, "logistics_date"]
     columns = rows.columns
-    each = first_by(rows.withColumns(cells), keys, columns, columns_without(columns, keys))
+    values = columns_without(columns, keys)
+    each = first_by(rows.withColumns(cells), keys, values, values)
     known = stored.withColumns(cells).select(*keys)
     return each.join(known, keys, "left_anti").select(*columns)
 
