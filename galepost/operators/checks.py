@@ -15,12 +15,17 @@ class CheckFailedError(AssertionError):
 
 @dataclass(frozen=True)
 class Check:
-    """One check on a table; ``target`` is a column or an SQL expression."""
+    """One check on a table; ``target`` is a column or an SQL expression.
+
+    ``long_values`` is for a uniqueness check on values much longer than a hash: they are
+    grouped only where two rows share one. It costs a second read of the table.
+    """
 
     table: str
     kind: str
     target: str
     severity: str = "error"
+    long_values: bool = False
 
     @property
     def name(self) -> str:
@@ -36,12 +41,19 @@ def broken(kind: str, value: Column) -> Column:
     raise ValueError(f"{kind!r} is no row-wise check")
 
 
-def duplicates(df: DataFrame, target: str) -> DataFrame:
-    """Values that occur more than once; NULLs are no duplicates."""
+def duplicates(df: DataFrame, target: str, long_values: bool = False) -> DataFrame:
+    """Values that occur more than once; NULLs are no duplicates.
+
+    Equal values have equal hashes. So where there are as many hashes as rows, no long value
+    is moved.
+    """
+    values = df.select(F.expr(target).alias("value")).filter(F.col("value").isNotNull())
+    if long_values:
+        hashes = values.select(F.xxhash64("value").alias("hash"))
+        different = hashes.distinct().agg(F.count(F.lit(1))).scalar()
+        values = values.filter(hashes.agg(F.count(F.lit(1)) > different).scalar())
     return (
-        df.select(F.expr(target).alias("value"))
-        .filter(F.col("value").isNotNull())
-        .groupBy("value")
+        values.groupBy("value")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > 1)
     )
@@ -100,7 +112,7 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
             )
         for check in mine:
             if check.kind == "unique":
-                found = duplicates(df, check.target)
+                found = duplicates(df, check.target, check.long_values)
             elif check.kind == "coverage":
                 found = out_of_tolerance(df)
             else:
