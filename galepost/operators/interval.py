@@ -20,6 +20,8 @@ IDEMPOTENT: dict[str, Callable[[str], Column]] = {
 # A span of 2^LEVELS days is the longest that is summarised; longer windows take several.
 LEVELS = 8
 VALUE_COST = 4
+# Days that a window's row in the join stands for.
+BLOCK_DAYS = 32
 
 _DAYS = "datediff(_last, _first) + 1"
 
@@ -37,37 +39,29 @@ def aggregate_windows(
     """Aggregates per distinct (on, lo, hi) window; one that meets no fact is absent or NULL.
 
     ``aggs`` maps an output name to (max | min | any, fact column). Windows repeat from
-    row to row, so they are made distinct before anything else; a hot key then costs
+    row to row, so they are made distinct before the join; a hot key then costs
     as much as its different windows, not as its rows. Facts are reduced to one row per
-    key and day.
+    key and day. They are read once for their number and days, and once by the join.
 
     Windows are first cut to the days that facts cover, so a stray far-off date costs no
     more than the calendar. ``doubling`` looks a window up in a table of spans: of the
     largest power of two of days that fits, the span that starts with the window and the one
     that ends with it cover it, and a day that is in both changes nothing. ``explode`` turns
-    a window into its days and joins on equality. ``range`` turns it into the months it
-    touches and joins on key and month with a day condition. ``auto`` takes the table of
-    spans where the windows have more days than it has values, and their days otherwise; a
-    value of the table costs about as much as ``VALUE_COST`` days in the join.
+    a window into the blocks of ``BLOCK_DAYS`` days that it touches, and joins on key and
+    block; its days are looked through where a block's facts are, so that few rows move.
+    ``range`` does so with the months it touches. ``auto`` takes the table of spans where the
+    windows have more days than it has values, and their blocks otherwise; a value of the
+    table costs about as much as ``VALUE_COST`` days in the join.
     """
     columns = [on, lo, hi]
-    distinct = (
-        windows.select(*columns)
-        .filter(F.col(on).isNotNull() & (F.col(lo) <= F.col(hi)))
-        .distinct()
-    )
-    # Read for its size and days, and by the join.
-    daily = stage(
-        facts.groupBy(on, day).agg(
-            *(IDEMPOTENT[kind](source).alias(name) for name, (kind, source) in aggs.items())
-        ),
-        "daily-facts",
-    )
-    size, first, last = daily.agg(F.count(F.lit(1)), F.min(day), F.max(day)).first()
+    known = windows.select(*columns).filter(F.col(on).isNotNull() & (F.col(lo) <= F.col(hi)))
+    daily_values = [IDEMPOTENT[kind](source).alias(name) for name, (kind, source) in aggs.items()]
+    daily = facts.groupBy(on, day).agg(*daily_values)
+    size, first, last = facts.agg(F.count(F.lit(1)), F.min(day), F.max(day)).first()
     kinds = {name: kind for name, (kind, _) in aggs.items()}
     again = [IDEMPOTENT[kind](name).alias(name) for name, kind in kinds.items()]
     cut = (
-        distinct.withColumns(
+        known.withColumns(
             {
                 "_first": F.greatest(F.col(lo), F.lit(first).cast("date")),
                 "_last": F.least(F.col(hi), F.lit(last).cast("date")),
@@ -78,19 +72,45 @@ def aggregate_windows(
     )
     levels = LEVELS
     if strategy in ("auto", "doubling"):
-        longest, days = cut.selectExpr(f"max({_DAYS})", f"sum({_DAYS})").first()
+        longest, mean, different = cut.agg(
+            F.expr(f"max({_DAYS})"), F.expr(f"avg({_DAYS})"), F.approx_count_distinct(F.struct(*columns))
+        ).first()
         levels = min((longest or 1).bit_length() - 1, LEVELS)
         if strategy == "auto":
             values = (levels + 1) * size
-            strategy = "doubling" if (days or 0) > VALUE_COST * values else "explode"
+            days = different * (mean or 0)
+            strategy = "doubling" if days > VALUE_COST * values else "explode"
     if strategy == "doubling":
-        matched = _look_up_spans(cut, columns, daily, on, day, kinds, levels)
+        matched = _look_up_spans(cut.distinct(), columns, daily, on, day, kinds, levels)
     elif strategy == "explode":
-        days = cut.select(*columns, F.explode(F.sequence("_first", "_last")).alias(day))
-        matched = days.join(daily, [on, day])
+        block = f"floor(unix_date({{}}) / {BLOCK_DAYS})"
+        ends = ", ".join(block.format(end) for end in ("_first", "_last"))
+        # Both sides are dealt out by block once, and grouped and joined where they are.
+        blocks = (
+            cut.withColumn("_in", F.explode(F.expr(f"sequence({ends})")))
+            .repartition(on, "_in")
+            .distinct()
+        )
+        by_block = (
+            facts.select(
+                F.col(on).alias("_on"),
+                F.expr(block.format(f"`{day}`")).alias("_block"),
+                F.col(day).alias("_day"),
+                *dict.fromkeys(source for _, source in aggs.values()),
+            )
+            .repartition("_on", "_block")
+            .groupBy("_on", "_block", "_day")
+            .agg(*daily_values)
+        )
+        matched = blocks.join(
+            by_block,
+            (F.col(on) == F.col("_on"))
+            & (F.col("_in") == F.col("_block"))
+            & F.col("_day").between(F.col("_first"), F.col("_last")),
+        )
     elif strategy == "range":
         month = F.expr("sequence(trunc(_first, 'MM'), trunc(_last, 'MM'), interval 1 month)")
-        months = cut.withColumn("_month", F.explode(month))
+        months = cut.distinct().withColumn("_month", F.explode(month))
         by_month = daily.withColumn("_month", F.trunc(day, "MM")).withColumnRenamed(on, "_on")
         matched = months.withColumnRenamed("_month", "_in").join(
             by_month,

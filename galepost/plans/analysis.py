@@ -15,6 +15,8 @@ from galepost.operators.metrics import (
 from galepost.plans.transform import TOLERANCE_KM
 
 LATE = "is_late_delivery"
+# What the monthly series reads of the fact.
+MONTHLY = ("order_purchase_timestamp", "order_id", LATE)
 
 
 def read_model(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
@@ -65,7 +67,7 @@ def headline_metrics(fact: DataFrame) -> DataFrame:
 
 
 def monthly_late_rate(fact: DataFrame) -> DataFrame:
-    return monthly_series(fact, "order_purchase_timestamp", "order_id", LATE)
+    return monthly_series(fact, *MONTHLY)
 
 
 def distance_histogram(bridge: DataFrame, bins: int = 40) -> DataFrame:
