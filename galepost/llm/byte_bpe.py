@@ -26,7 +26,7 @@ from .common import batch_of, map_batches, rows_of
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
-CACHED_PIECES = 400_000
+CACHED_PIECES = 65_536
 
 
 class PieceEncoder:
@@ -67,8 +67,18 @@ class PieceEncoder:
             out.append(ids)
         return b"".join(out)
 
+
+class PieceDecoder:
+    """The bytes of ids: the strings of the vocabulary in place, without an encoder."""
+
+    def __init__(self, ranks_file: str):
+        ranks = ranks_of(ranks_file)
+        self.strings = [b""] * (max(ranks.values(), default=-1) + 1)
+        for string, rank in ranks.items():
+            self.strings[rank] = string
+
     def decode(self, ids: bytes) -> bytes:
-        return self.codec.decode_bytes(np.frombuffer(ids, dtype="<u4").tolist())
+        return b"".join(map(self.strings.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
 def boundaries(pattern: regex.Pattern, text: str, last: bool) -> list[int]:
@@ -259,7 +269,7 @@ def round_trip(coded: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(ranks_file, pattern)
+        decoder = PieceDecoder(ranks_file)
         state = None
 
         def closed() -> tuple:
@@ -274,7 +284,7 @@ def round_trip(coded: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
                     state = [row, doc, 0, hashlib.sha256(), hashlib.sha256()]
                 state[2] += len(ids) // 4
                 state[3].update(ids)
-                state[4].update(encoder.decode(ids))
+                state[4].update(decoder.decode(ids))
             yield batch_of(out, _DIGEST)
         if state:
             yield batch_of([closed()], _DIGEST)
