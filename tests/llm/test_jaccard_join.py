@@ -212,3 +212,49 @@ def test_bitmap_never_loses_a_key(spark):
     assert {r.id for r in keys.collect()} <= ids and len(ids) < 450
     none = common.may_hold(rows, common.key_bitmap(keys.limit(0), "h"), "h", "has")
     assert none.where("has").count() == 0 and none.count() == 3000
+
+
+def test_full_comparisons_of_all_levels_are_one_pass(spark, documents, monkeypatch):
+    """Each pass over the buckets costs its shuffles, so there is not one per level."""
+    monkeypatch.setattr(jj, "SMALL_BUCKET", 4)
+    passes, written = defaultdict(int), jj.stage
+
+    def counted(df, label):
+        passes[label] += 1
+        return written(df, label)
+
+    monkeypatch.setattr(jj, "stage", counted)
+    rng = random.Random(5)
+    # A common first half, and a second that two texts share: buckets that are split.
+    texts = [f"{prose(8, 90)} {prose(100 + i // 2, 60)}" for i in range(40)]
+    texts += [altered(rng, prose(7, 120), rng.randint(0, 3)) for _ in range(30)]
+    assert found(jj.link_documents(documents(texts))) == expected(texts)
+    assert passes["join-pivots"] > 1
+    # Small buckets, and what large ones leave to compare.
+    assert passes["join-edges"] == 2
+
+
+def test_links_of_a_component_are_no_paths():
+    """A class is connected with the least of its tree, blocks by the least of theirs."""
+    base = np.arange(100, dtype=np.uint64)
+    # Each similar to the next few only.
+    sets = {bytes([65 + k]): base + np.uint64(5 * k) for k in range(12)}
+    names = list(sets)
+    rows = {"component": [], "i": [], "j": [], "sid": [], "own": [], "members": [], "shingles": []}
+    for i, j in ((0, 0), (0, 1), (1, 1)):
+        for k, name in reversed(list(enumerate(names))):
+            if k // 6 in (i, j):
+                row = (b"c", i, j, name, k // 6, 1, np.sort(sets[name]).tobytes())
+                for column, value in zip(rows, row, strict=True):
+                    rows[column].append(value)
+    batch = pa.RecordBatch.from_pydict(rows)
+    out = [r for b in jj._links(0.8)(iter([batch])) for r in common.rows_of(b)]
+    assert sorted((a, b) for a, b, _ in out if b is not None) == sorted(
+        [(n, names[0]) for n in names[1:6]] + [(n, names[6]) for n in names[7:]]
+        + [(names[0], names[6])]
+    )
+    gained = defaultdict(int)
+    for a, b, links in out:
+        gained[a] += links
+    # 100 - 5 d shared of 100 + 5 d: up to two steps apart.
+    assert [gained[n] for n in names] == [2, 3] + [4] * 8 + [3, 2]
