@@ -31,9 +31,11 @@ from .common import batch_of, map_batches, rows_of, text_key
 from .running import carried
 
 END_ID = 2
-# Distinct words that the library gets as one text, and characters whose words are pooled.
+# Distinct words that the library gets as one text, characters whose words are pooled, and the
+# size of the words whose ids a worker keeps for the next pool.
 WORDS_AT_ONCE = 256
-CHARS_AT_ONCE = 6_000_000
+CHARS_AT_ONCE = 1_500_000
+KNOWN_BYTES = 4_000_000
 _HEAD = struct.Struct("<QI")
 _TAIL = struct.Struct("<I")
 
@@ -95,7 +97,7 @@ def laid_out(
 
 
 class PieceIds:
-    """Ids of whole texts, each distinct word of a batch given to the library once.
+    """Ids of whole texts, each distinct word given to the library once while it is known.
 
     The merges of this vocabulary never cross a piece and no piece holds white space, so a
     text's ids are those of its words in order. Distinct words are encoded many at a time,
@@ -112,6 +114,13 @@ class PieceIds:
         words = self.model.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(words.values()) + 1, dtype=bool)
         self.ends[[n for word, n in words.items() if word.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        """No word is known: their texts, all their ids and how many each has."""
+        self.known = pa.array([], type=pa.large_string())
+        self.known_ids = np.zeros(0, dtype=self.dtype)
+        self.known_count = np.zeros(0, dtype=np.int64)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
@@ -136,7 +145,24 @@ class PieceIds:
         return ids, np.diff(end[::2])
 
     def _pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The same of words as the library splits them."""
+        """The same of distinct words as the library splits them; known ones are looked up."""
+        place = pc.index_in(words, value_set=self.known)
+        unknown = place.is_null().to_numpy(zero_copy_only=False)
+        order = place.fill_null(0).to_numpy().astype(np.int64)
+        order[unknown] = len(self.known) + np.arange(np.count_nonzero(unknown))
+        new = words.filter(pa.array(unknown))
+        ids, count = self._encoded(new)
+        self.known = pa.concat_arrays([self.known, new])
+        self.known_ids = np.concatenate([self.known_ids, ids])
+        self.known_count = np.concatenate([self.known_count, count])
+        count = self.known_count[order]
+        ids, _ = laid_out(self.known_ids, self.known_count, order)
+        if self.known.nbytes > KNOWN_BYTES:
+            self._forget()
+        return ids, count
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words that the library is given."""
         texts = words.to_numpy(zero_copy_only=False).tolist()
         joined = [
             " ".join(texts[start : start + WORDS_AT_ONCE])

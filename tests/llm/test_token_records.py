@@ -2,10 +2,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
+from galepost.llm import common
 from galepost.llm import token_records as tr
 
 from .conftest import prose
@@ -37,6 +39,47 @@ def test_pieces_give_the_ids_of_whole_texts(edge_texts):
         assert [g + np.array([2], "<u4").tobytes() for g in got] == plain_ids(texts)
 
 
+def test_known_words_are_not_encoded_again(monkeypatch):
+    given, encoded = [], tr.PieceIds._encoded
+
+    def seen(self, words):
+        given.append(words.to_pylist())
+        return encoded(self, words)
+
+    monkeypatch.setattr(tr.PieceIds, "_encoded", seen)
+    encode = tr.PieceIds(PATH)
+    first, second = "Unbelievable things, 12 things", "things believe, 12 unbelievable 12x things!"
+    tail = np.array([tr.END_ID], "<u4").tobytes()
+    for texts in ([first], [second, first], [second], [""], []):
+        assert [ids + tail for ids in encode(texts)] == plain_ids(texts)
+    assert sorted(given[0]) == ["", ",", "12", "things", "unbelievable"]
+    assert sorted(given[1]) == ["!", "12x", "believe"]
+    assert given[2:] == [[]] * 3
+
+
+def test_known_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(tr, "KNOWN_BYTES", 2000)
+    encode = tr.PieceIds(PATH)
+    tail = np.array([tr.END_ID], "<u4").tobytes()
+    held = set()
+    for n in range(12):
+        texts = [f"{prose(n, 20)} w{n} {'y' * 90 * n}", prose(1, 20)]
+        assert [ids + tail for ids in encode(texts)] == plain_ids(texts)
+        assert encode.known.nbytes <= 2000
+        held.add(len(encode.known) > 0)
+    assert held == {True, False}
+
+
+def test_a_worker_holds_small_pools():
+    """A worker's memory is that of a pool; two at a time are in an executor beside the JVM."""
+    rows = [(n, "x" * 50_000) for n in range(100)]
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+    batches = iter([common.batch_of(rows[k : k + 20], schema) for k in range(0, 100, 20)])
+    pools = list(tr.gathered(batches))
+    assert [n for ids, _ in pools for n in ids] == list(range(100))
+    assert max(sum(map(len, texts)) for _, texts in pools) <= 2_000_000
+
+
 def test_records_of_edge_rows(spark, documents, edge_texts, tmp_path):
     texts = [*edge_texts, *ODD]
     ids = [None, *range(len(texts) - 2, 0, -1), 3]
